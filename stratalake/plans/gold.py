@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stratalake.fixed import OTHER_PROVIDER, PROVIDERS, YEAR_MONTH
 from stratalake.operators.aggregate import monthly_aggregate
 from stratalake.operators.conform import code_label, conform, typed_null, union_all
 from stratalake.operators.dates import with_year_month
-from stratalake.sources.layout import cluster_write, partitioned_write
-from stratalake.sources.tables import read_table
+from stratalake.sources.layout import rebalanced
+from stratalake.sources.tables import publish_partitions, read_partitions
 
 PLACES = {"pulocationid": "pulocationid", "dolocationid": "dolocationid"}
+# Order of the rows inside the published files.
+SORTED_BY = ["pickup_datetime", "pulocationid", "dolocationid", "service_type"]
 
 
 def _layout(pickup: str, dropoff: str, distance, amount, service: str, provider=None) -> dict:
@@ -54,15 +56,37 @@ def to_gold(silver: Mapping[str, DataFrame]) -> DataFrame:
     return with_year_month(trips, "pickup_datetime")
 
 
-def publish_gold(spark: SparkSession, silver: Mapping[str, DataFrame], trips_path: str, monthly_path: str) -> None:
-    """Publish the trips by month, then aggregate what was published, so the
-    silver tables are read once."""
-    sort_by = ["pickup_datetime", "pulocationid", "dolocationid"]
-    partitioned_write(to_gold(silver), trips_path, YEAR_MONTH, sort_by)
-    trips = read_gold_trips(spark, trips_path)
-    cluster_write(monthly_aggregate(trips), monthly_path, ["ano_mes", "pulocationid", "dolocationid"])
+def gold_trips_schema(timestamp: str = "timestamp") -> T.StructType:
+    return T.StructType.fromDDL(
+        f"pickup_datetime {timestamp}, dropoff_datetime {timestamp}, pulocationid bigint, dolocationid bigint, "
+        "trip_distance double, total_amount double, service_type string, provider string, ano_mes string"
+    )
 
 
-def read_gold_trips(spark: SparkSession, path: str) -> DataFrame:
-    df = read_table(spark, path)
-    return df.withColumn(YEAR_MONTH, F.col(YEAR_MONTH).cast("string"))
+def publish_gold(
+    spark: SparkSession,
+    trips: DataFrame,
+    trips_path: str,
+    monthly_path: str,
+    months: Sequence[str] | None = None,
+    scale: int | None = None,
+) -> None:
+    """Publish the given trips by month, then aggregate what was published.
+
+    The aggregate is grouped by month, so rebuilding only the ``months`` that
+    changed is exact; ``trips`` then holds all trips of those months.
+    """
+    layout = rebalanced(trips, YEAR_MONTH).sortWithinPartitions(YEAR_MONTH, *SORTED_BY)
+    publish_partitions(layout, trips_path, YEAR_MONTH)
+    published = read_partitions(spark, trips_path, YEAR_MONTH, trips.schema, months)
+    publish_partitions(rebalanced(monthly_aggregate(published, scale=scale), YEAR_MONTH), monthly_path, YEAR_MONTH)
+
+
+def read_gold_trips(spark: SparkSession, path: str, timestamp: str = "timestamp") -> DataFrame:
+    return read_partitions(spark, path, YEAR_MONTH, gold_trips_schema(timestamp))
+
+
+def read_gold_monthly(spark: SparkSession, path: str, timestamp: str = "timestamp") -> DataFrame:
+    """The published monthly aggregate."""
+    nothing = spark.createDataFrame([], gold_trips_schema(timestamp))
+    return read_partitions(spark, path, YEAR_MONTH, monthly_aggregate(nothing).schema)

@@ -6,12 +6,22 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.plans.gold import publish_gold, read_gold_trips
+from stratalake.fixed import YEAR_MONTH
+from stratalake.plans.gold import publish_gold, read_gold_monthly, read_gold_trips, to_gold
 from stratalake.plans.report import report
-from stratalake.plans.silver import publish_silver, read_silver
+from stratalake.plans.silver import optimize_silver, publish_silver, read_silver
 from stratalake.sources.feeds import FEEDS, Feed
 from stratalake.sources.files import ingest_files, read_bronze
-from stratalake.sources.tables import read_table, register_views
+from stratalake.sources.tables import partition_values, publish, register_views, versions
+
+
+def _newest(spark: SparkSession, path: str) -> int:
+    return max(versions(spark, path), default=0)
+
+
+def _mark(spark: SparkSession, path: str, number: int) -> None:
+    """Note that a layer has taken in everything up to ``number``."""
+    publish(spark.createDataFrame([(number,)], "upto bigint"), path, version=number)
 
 
 def run_layers(
@@ -20,25 +30,50 @@ def run_layers(
     lake: str,
     feeds: Mapping[str, Feed] = FEEDS,
     as_of: object | None = None,
+    optimize: bool = False,
+    timestamp: str = "timestamp",
+    scale: int | None = None,
 ) -> dict[str, DataFrame]:
     """Bring every layer below ``lake`` up to date with the landing files.
 
-    ``landing`` maps feed names to directories. Returns the layers as
-    DataFrames, also registered as SQL views of the same names. Files that
-    were ingested before are left alone; running it again changes nothing.
+    ``landing`` maps feed names to directories. Each layer takes in only what
+    is new in the one before: silver the new loads, gold the months that
+    silver rewrote. A layer notes its progress after its write, and taking in
+    the same input twice changes nothing, so a run that was interrupted is
+    completed by the next one. Returns the layers, also registered as SQL
+    views of the same names.
     """
-    tables: dict[str, DataFrame] = {}
+    paths = {
+        name: {layer: f"{lake}/{layer}/{name}" for layer in ("bronze", "ledger", "silver", "silver_done", "gold_done")}
+        for name in landing
+    }
+    months: set[str] = set()
     for name, directory in landing.items():
-        feed = feeds[name]
-        bronze, ledger, silver = (f"{lake}/{layer}/{name}" for layer in ("bronze", "ledger", "silver"))
-        if ingest_files(spark, directory, bronze, ledger, feed.schema):
-            publish_silver(read_bronze(spark, bronze, ledger, feed.schema), feed, silver, as_of)
-        tables[f"silver_{name}"] = read_silver(spark, feed, silver)
-    silver = {name: tables[f"silver_{name}"] for name in landing}
-    publish_gold(spark, silver, f"{lake}/gold/trips", f"{lake}/gold/monthly")
-    tables["gold_trips"] = read_gold_trips(spark, f"{lake}/gold/trips")
-    tables["gold_monthly"] = read_table(spark, f"{lake}/gold/monthly")
-    if "yellow" in silver:
-        tables["report"] = report(tables["gold_monthly"], silver["yellow"])
+        feed, p = feeds[name], paths[name]
+        ingest_files(spark, directory, p["bronze"], p["ledger"], feed.schema)
+        done, newest = _newest(spark, p["silver_done"]), _newest(spark, p["ledger"])
+        if newest > done:
+            publish_silver(read_bronze(spark, p["bronze"], p["ledger"], feed.schema, after=done), feed, p["silver"], as_of)
+            _mark(spark, p["silver_done"], newest)
+        done = _newest(spark, p["gold_done"])
+        for version in versions(spark, p["silver"]):
+            if version > done:
+                months.update(partition_values(spark, p["silver"], YEAR_MONTH, version))
+    trips_path, monthly_path = f"{lake}/gold/trips", f"{lake}/gold/monthly"
+    if months:
+        touched = sorted(months)
+        silver = {name: read_silver(spark, feeds[name], paths[name]["silver"], touched) for name in landing}
+        publish_gold(spark, to_gold(silver), trips_path, monthly_path, touched, scale)
+        for name in landing:
+            newest = _newest(spark, paths[name]["silver"])
+            if optimize:
+                newest = optimize_silver(spark, feeds[name], paths[name]["silver"], touched)
+            if newest:
+                _mark(spark, paths[name]["gold_done"], newest)
+    tables = {f"silver_{name}": read_silver(spark, feeds[name], paths[name]["silver"]) for name in landing}
+    tables["gold_trips"] = read_gold_trips(spark, trips_path, timestamp)
+    tables["gold_monthly"] = read_gold_monthly(spark, monthly_path, timestamp)
+    if "silver_yellow" in tables:
+        tables["report"] = report(tables["gold_monthly"], tables["silver_yellow"])
     register_views(spark, tables)
     return tables

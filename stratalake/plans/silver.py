@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from stratalake.fixed import INGESTED_AT, YEAR_MONTH
@@ -10,7 +12,8 @@ from stratalake.operators.dates import with_ingestion_time, with_year_month
 from stratalake.operators.dedup import keep_one
 from stratalake.operators.schema import enforce_schema, lower_names
 from stratalake.sources.feeds import Feed
-from stratalake.sources.tables import read_partitions, upsert_partitions
+from stratalake.sources.layout import clustered
+from stratalake.sources.tables import publish_partitions, read_partitions, upsert_partitions
 
 
 def silver_schema(feed: Feed) -> T.StructType:
@@ -46,5 +49,12 @@ def publish_silver(bronze: DataFrame, feed: Feed, path: str, as_of: object | Non
     return upsert_partitions(silver, path, YEAR_MONTH, feed.keys, source_unique=True, touched_by=months)
 
 
-def read_silver(spark: SparkSession, feed: Feed, path: str) -> DataFrame:
-    return read_partitions(spark, path, YEAR_MONTH, silver_schema(feed))
+def read_silver(spark: SparkSession, feed: Feed, path: str, months: Sequence[str] | None = None) -> DataFrame:
+    return read_partitions(spark, path, YEAR_MONTH, silver_schema(feed), months)
+
+
+def optimize_silver(spark: SparkSession, feed: Feed, path: str, months: Sequence[str] | None = None) -> int:
+    """Rewrite months (all by default) clustered by the columns the feed is
+    filtered on."""
+    rows = clustered(read_silver(spark, feed, path, months), feed.cluster_by, lead=[YEAR_MONTH])
+    return publish_partitions(rows, path, YEAR_MONTH)

@@ -36,6 +36,15 @@ HVFHV = """
 """
 
 
+TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 @dataclass(frozen=True)
 class Feed:
     """``keys`` and the column names below are those of the silver layer."""
@@ -48,7 +57,8 @@ class Feed:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.columns)
+        pairs = [column.split() for column in self.columns.split(",")]
+        return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
     def with_ntz(self) -> "Feed":
         """The same feed with wall-clock (zone-free) timestamps."""

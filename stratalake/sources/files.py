@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stratalake.operators.conform import union_all
 from stratalake.operators.schema import enforce_schema
-from stratalake.sources.tables import publish, table_exists, versions
+from stratalake.sources.tables import publish, version_dir, versions
 
 # The columns of Spark's own file listing source; ``content`` is never read here.
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
@@ -72,7 +72,7 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     if not loads:
         return spark.createDataFrame([], "path string, load_id bigint")
     df = spark.read.schema("path string, v bigint").option("basePath", ledger).parquet(
-        *[f"{ledger}/v={n:09d}" for n in loads]
+        *[version_dir(ledger, n) for n in loads]
     )
     return df.select("path", F.col("v").alias("load_id"))
 
@@ -105,16 +105,18 @@ def ingest_files(
             return done
         loads = versions(spark, ledger)
         load_id = loads[-1] + 1 if loads else 1
-        load_files(spark, batch, schema, on_missing).write.mode("overwrite").parquet(f"{bronze}/v={load_id:09d}")
+        load_files(spark, batch, schema, on_missing).write.mode("overwrite").parquet(version_dir(bronze, load_id))
         publish(spark.createDataFrame([(p,) for p in batch], "path string"), ledger, version=load_id)
         done += len(batch)
 
 
-def read_bronze(spark: SparkSession, bronze: str, ledger: str, schema: T.StructType) -> DataFrame:
-    """All loads the ledger confirms."""
-    if not table_exists(spark, ledger):
+def read_bronze(
+    spark: SparkSession, bronze: str, ledger: str, schema: T.StructType, after: int = 0
+) -> DataFrame:
+    """All loads the ledger confirms, or those numbered higher than ``after``."""
+    paths = [version_dir(bronze, n) for n in versions(spark, ledger) if n > after]
+    if not paths:
         return spark.createDataFrame([], schema)
-    paths = [f"{bronze}/v={n:09d}" for n in versions(spark, ledger)]
     return spark.read.schema(schema).option("basePath", bronze).parquet(*paths).select(*schema.names)
 
 

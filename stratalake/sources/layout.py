@@ -46,18 +46,21 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bounds: dict[str, Sequence[fl
     return interleave([bucket_number(as_number(column(c), types[c]), bounds[c]) for c in cols], bits)
 
 
-def clustered(df: DataFrame, cols: Sequence[str], files: int | None = None, bits: int = 5) -> DataFrame:
+def clustered(
+    df: DataFrame, cols: Sequence[str], files: int | None = None, bits: int = 5, lead: Sequence[str] = ()
+) -> DataFrame:
     """Rows ordered along a Z-curve over ``cols``, so Parquet min/max values
     let a filter on any of them skip most files.
 
     Partitions are ranges of the curve. Rows with equal values are told apart
     by the partition they came from, so a value that most rows share still
-    spreads over many partitions.
+    spreads over many partitions. ``lead`` columns come before the curve, for
+    tables that are also partitioned by them.
     """
-    cols = require_columns(df, cols)
+    cols, lead = require_columns(df, cols), require_columns(df, lead)
     z, origin = fresh_name(df, "z"), fresh_name(df, "origin")
     keyed = df.withColumns({z: zorder_key(df, cols, cluster_bounds(df, cols, bits), bits), origin: F.spark_partition_id()})
-    order = [F.col(z), *[column(c) for c in cols], F.col(origin)]
+    order = [*[column(c) for c in lead], F.col(z), *[column(c) for c in cols], F.col(origin)]
     ranged = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order[:-1]).drop(z, origin)
 

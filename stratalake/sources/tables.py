@@ -13,6 +13,7 @@ newest directory that has it, so an upsert rewrites only the months it touches.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -23,6 +24,8 @@ from stratalake.operators.upsert import upsert
 from stratalake.sources.storage import children, exists
 
 PREFIX = "v="
+# How Spark writes a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
@@ -76,17 +79,29 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(version_dir(path, done[-1] if version is None else version))
 
 
-def _partition_dirs(spark: SparkSession, path: str, partition: str) -> dict[str, str]:
-    """Partition directory name -> newest directory holding it."""
+def _partition_dirs(spark: SparkSession, path: str, partition: str) -> dict[str | None, str]:
+    """Partition value -> newest directory holding it."""
     newest = {}
     for version in versions(spark, path):
         base = version_dir(path, version)
         for name in children(spark, base):
             if name.startswith(f"{partition}="):
-                newest[name] = f"{base}/{name}"
+                newest[_value(name, partition)] = f"{base}/{name}"
     return newest
 
 
+def _value(directory: str, partition: str) -> str | None:
+    """The partition value a directory name stands for."""
+    text = unquote(directory[len(partition) + 1:])
+    return None if text == NULL_PARTITION else text
+
+
+def partition_values(spark: SparkSession, path: str, partition: str, version: int) -> list[str | None]:
+    """Values of the partitions that one version wrote."""
+    names = children(spark, version_dir(path, version))
+    return [_value(n, partition) for n in names if n.startswith(f"{partition}=")]
+
+
 def publish_partitions(
     df: DataFrame, path: str, partition: str, max_records_per_file: int = 0, version: int | None = None
 ) -> int:
@@ -95,13 +110,13 @@ def publish_partitions(
 
 
 def read_partitions(
-    spark: SparkSession, path: str, partition: str, schema: T.StructType, only: Sequence[str] | None = None
+    spark: SparkSession, path: str, partition: str, schema: T.StructType, only: Sequence[str | None] | None = None
 ) -> DataFrame:
     """Newest content of every partition, or of those in ``only``."""
     dirs = _partition_dirs(spark, path, partition)
     if only is not None:
-        wanted = {f"{partition}={value}" for value in only}
-        dirs = {name: d for name, d in dirs.items() if name in wanted}
+        wanted = {None if value is None else str(value) for value in only}
+        dirs = {value: d for value, d in dirs.items() if value in wanted}
     if not dirs:
         return spark.createDataFrame([], schema)
     # ``v`` is a directory level too; selecting the schema's columns leaves it out.
