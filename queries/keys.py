@@ -85,8 +85,12 @@ def row_hash_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fingerprint_sql(source: str, cols: str) -> str:
-    lanes = ", ".join(f"sum(CAST('0x' || substr(h, {4 * i + 1}, 4) AS BIGINT))" for i in range(16))
-    return f"""SELECT count(*) AS n_rows, sha256(concat_ws('-', count(*), {lanes})) AS dataset_hash
+    lanes = []
+    for i in range(4):
+        word = f"CAST('0x' || substr(h, {15 * i + 1}, 15) AS BIGINT)"
+        lanes += [f"sum({word} & 1048575)", f"sum(({word} >> 20) & 1048575)", f"sum({word} >> 40)"]
+    lanes.append("sum(CAST('0x' || substr(h, 61, 4) AS BIGINT))")
+    return f"""SELECT count(*) AS n_rows, sha256(concat_ws('-', count(*), {", ".join(lanes)})) AS dataset_hash
         FROM (SELECT sha256(concat_ws('|', {cols})) AS h FROM {source})"""
 
 

@@ -8,7 +8,7 @@ from queries.registry import query, table
 from stratalake.fixed import YEAR_MONTH
 from stratalake.operators.dates import with_year_month
 from stratalake.sources.files import ingest_files, read_bronze
-from stratalake.sources.layout import cluster_write, partitioned_write, zorder_key
+from stratalake.sources.layout import cluster_write, partitioned_write, with_zorder_key
 from stratalake.sources.storage import shared_dir
 from stratalake.sources.tables import publish, read_partitions, read_table, register_views, upsert_partitions
 from stratalake.streaming.ingest import append_stream, ingest_stream, read_stream_bronze
@@ -32,7 +32,7 @@ def _zorder_sql() -> str:
 def zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     bounds = {"o_orderkey": KEY_BOUNDS, "o_totalprice": PRICE_BOUNDS}
-    return orders.select("o_orderkey", zorder_key(orders, ["o_orderkey", "o_totalprice"], bounds, 5).alias("z"))
+    return with_zorder_key(orders, "z", ["o_orderkey", "o_totalprice"], bounds, 5).select("o_orderkey", "z")
 
 
 @query("clustered_roundtrip", "SELECT * FROM lineitem")

@@ -21,26 +21,37 @@ def as_number(c: Column, dtype: T.DataType) -> Column:
     return c
 
 
-def bucket_number(c: Column, bounds: Sequence[float]) -> Column:
-    """How many of the ascending ``bounds`` are <= c, by bisection; null is 0."""
+def spread(number: int, step: int, offset: int) -> int:
+    """Bit ``i`` of the number goes to bit ``i * step + offset``."""
+    out, i = 0, 0
+    while number >> i:
+        out |= ((number >> i) & 1) << (i * step + offset)
+        i += 1
+    return out
+
+
+def bisected(c: Column, bounds: Sequence[float], leaves: Sequence[int]) -> Column:
+    """``leaves[n]`` for the number n of ascending ``bounds`` that are <= c.
+
+    A balanced tree of comparisons with constants at its leaves, so whatever
+    the leaves stand for costs nothing per row. Null takes the first leaf.
+    """
 
     def pick(lo: int, hi: int) -> Column:
         if lo == hi:
-            return F.lit(lo)
+            return F.lit(leaves[lo])
         mid = (lo + hi) // 2
         return F.when(c < F.lit(bounds[mid]), pick(lo, mid)).otherwise(pick(mid + 1, hi))
 
-    return F.when(c.isNull(), F.lit(0)).otherwise(pick(0, len(bounds))).cast("bigint")
+    return F.coalesce(F.when(c.isNotNull(), pick(0, len(bounds))), F.lit(leaves[0])).cast("bigint")
 
 
-def interleave(numbers: Sequence[Column], bits: int) -> Column:
-    """Bit ``i`` of column ``k`` of n goes to bit ``i * n + k``."""
-    n = len(numbers)
+def interleaved(cols: Sequence[Column], bounds: Sequence[Sequence[float]], bits: int) -> Column:
+    """Bucket numbers of the columns with their bits dealt out in turn."""
+    n = len(cols)
     if n * bits > 63:
         raise ValueError(f"{n} columns of {bits} bits do not fit into 63 bits")
     out = F.lit(0).cast("bigint")
-    for k, number in enumerate(numbers):
-        for i in range(bits):
-            bit = F.shiftright(number.cast("bigint"), i).bitwiseAND(F.lit(1).cast("bigint"))
-            out = out.bitwiseOR(F.shiftleft(bit, i * n + k))
+    for k, (c, own) in enumerate(zip(cols, bounds)):
+        out = out.bitwiseOR(bisected(c, own, [spread(i, n, k) for i in range(len(own) + 1)]))
     return out

@@ -7,13 +7,16 @@ from pyspark.sql import Column, functions as F, types as T
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+# Text that is a number; the check is far cheaper than a cast that fails.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def text_to_bigint(c: Column) -> Column:
     """'1.0', '1.9' and '1.0E10' are integers too (truncated); junk is null.
 
-    The direct cast keeps all 64 bits; only what it rejects goes through a
-    decimal, never through a double.
+    The way through a decimal keeps all 64 bits, which a double would not.
     """
-    return F.coalesce(c.try_cast("bigint"), c.try_cast("decimal(38,18)").try_cast("bigint"))
+    return F.when(c.rlike(NUMBER), c.try_cast("decimal(38,18)").try_cast("bigint"))
 
 
 def safe_cast(c: Column, source: T.DataType, target: T.DataType) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, functions as F
 
 from stratalake.fixed import HASH_SEPARATOR
 
-LANES = 16
+LANES = 13
+LANE = 2**20 - 1
 
 
 def row_digest(cols: Sequence[Column], null_token: str | None = None) -> Column:
@@ -29,13 +30,15 @@ def row_digest(cols: Sequence[Column], null_token: str | None = None) -> Column:
 
 
 def lane_sums(digest: Column) -> list[Column]:
-    """Sums of the digest's sixteen 16-bit words.
+    """Sums of the 256 bits of the digest, taken as thirteen short numbers.
 
-    Sums commute, so they combine map-side and the result does not depend on
-    row order or partitioning; a 64-bit sum holds 2**47 rows.
+    Four words of sixty bits give three twenty-bit numbers each, the last
+    sixteen bits give one. Sums commute, so they combine map-side and do not
+    depend on row order or partitioning; a 64-bit sum has room for 2**43 rows.
     """
-    sums = []
-    for lane in range(LANES):
-        word = F.conv(F.substring(digest, 4 * lane + 1, 4), 16, 10).cast("bigint")
-        sums.append(F.sum(word))
-    return sums
+    lanes = []
+    for i in range(4):
+        word = F.conv(F.substring(digest, 15 * i + 1, 15), 16, 10).cast("bigint")
+        lanes += [word.bitwiseAND(F.lit(LANE)), F.shiftright(word, 20).bitwiseAND(F.lit(LANE)), F.shiftright(word, 40)]
+    lanes.append(F.conv(F.substring(digest, 61, 4), 16, 10).cast("bigint"))
+    return [F.sum(lane) for lane in lanes]

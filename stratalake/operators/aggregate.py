@@ -22,7 +22,11 @@ def _distinct(name: str, keys: Sequence[str], approximate: bool) -> Column:
 
 def _total(name: str, scale: int | None) -> Column:
     c = column(name)
-    return F.sum(c) if scale is None else F.sum(c.try_cast(f"decimal(18,{scale})")).cast("double")
+    if scale is None:
+        return F.sum(c)
+    # Sums of whole numbers are exact; beyond 64 bits they fail rather than wrap.
+    unit = 10**scale
+    return F.sum(F.rint(c * F.lit(unit)).try_cast("bigint")).cast("double") / F.lit(float(unit))
 
 
 def _mean(name: str, scale: int | None) -> Column:
@@ -37,8 +41,9 @@ def monthly_aggregate(
 ) -> DataFrame:
     """Trip counts, places, distances and revenue per group.
 
-    ``scale`` sums distances and amounts as decimals with that many digits:
-    the result is then the same to the last bit however rows are partitioned.
+    ``scale`` sums distances and amounts as whole numbers of that many decimal
+    digits: the result is then the same to the last bit however rows are
+    partitioned.
     A place column that is itself a group key costs no distinct count.
     """
     keys = require_columns(trips, keys)

@@ -24,7 +24,7 @@ def with_row_hash(
 def dataset_fingerprint(df: DataFrame, cols: Sequence[str], null_token: str | None = None) -> DataFrame:
     """One row: ``n_rows`` and a SHA-256 text for the multiset of rows.
 
-    Row hashes are added up word by word, so the work is one map-side
+    Row hashes are added up piece by piece, so the work is one map-side
     aggregate: no sort, no shuffle of rows, nothing collected. Two tables with
     the same rows in any order agree. For change detection; an adversary who
     can choose rows freely needs the exact form.

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.functions.bits import as_number, bucket_number, interleave
+from stratalake.functions.bits import as_number, interleaved
 from stratalake.functions.names import column, fresh_name, require_columns
 from stratalake.sources.tables import publish, version_dir
 
@@ -40,10 +40,18 @@ def cluster_bounds(df: DataFrame, cols: Sequence[str], bits: int, error: float =
     return {c: sorted(set(row[i] or [])) for i, c in enumerate(cols)}
 
 
-def zorder_key(df: DataFrame, cols: Sequence[str], bounds: dict[str, Sequence[float]], bits: int) -> Column:
-    """Bucket numbers of the columns, bit-interleaved."""
+def with_zorder_key(
+    df: DataFrame, name: str, cols: Sequence[str], bounds: dict[str, Sequence[float]], bits: int
+) -> DataFrame:
+    """Add the bucket numbers of the columns, bit-interleaved."""
+    cols = require_columns(df, cols)
+    for c in cols:
+        if len(bounds[c]) >= 2**bits:
+            raise ValueError(f"{len(bounds[c])} bounds of {c} need more than {bits} bits")
     types = {f.name: f.dataType for f in df.schema.fields}
-    return interleave([bucket_number(as_number(column(c), types[c]), bounds[c]) for c in cols], bits)
+    numbers = {fresh_name(df, f"number_{i}"): as_number(column(c), types[c]) for i, c in enumerate(cols)}
+    key = interleaved([F.col(n) for n in numbers], [bounds[c] for c in cols], bits)
+    return df.withColumns(numbers).withColumn(name, key).drop(*numbers)
 
 
 def clustered(
@@ -59,7 +67,7 @@ def clustered(
     """
     cols, lead = require_columns(df, cols), require_columns(df, lead)
     z, origin = fresh_name(df, "z"), fresh_name(df, "origin")
-    keyed = df.withColumns({z: zorder_key(df, cols, cluster_bounds(df, cols, bits), bits), origin: F.spark_partition_id()})
+    keyed = with_zorder_key(df, z, cols, cluster_bounds(df, cols, bits), bits).withColumn(origin, F.spark_partition_id())
     order = [*[column(c) for c in lead], F.col(z), *[column(c) for c in cols], F.col(origin)]
     ranged = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order[:-1]).drop(z, origin)
