@@ -34,11 +34,12 @@ def lookup(available: Iterable[str], name: str) -> str | None:
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> list[str]:
     """Resolve every name against ``df`` or raise with all missing ones."""
-    found = {name: lookup(df.columns, name) for name in names}
-    missing = [name for name, hit in found.items() if hit is None]
+    available = df.columns
+    found = [(name, lookup(available, name)) for name in names]
+    missing = [name for name, hit in found if hit is None]
     if missing:
-        raise AnalysisException(f"Columns not found: {missing}; available: {df.columns}")
-    return list(found.values())
+        raise AnalysisException(f"Columns not found: {missing}; available: {available}")
+    return [hit for _, hit in found]
 
 
 def fresh_name(df: DataFrame, stem: str) -> str:

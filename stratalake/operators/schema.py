@@ -20,13 +20,14 @@ def enforce_schema(df: DataFrame, schema: T.StructType, on_missing: str = "error
         raise ValueError(f"on_missing must be 'error' or 'null', not {on_missing!r}")
     if on_missing == "error":
         require_columns(df, schema.names)
+    types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for field in schema.fields:
-        name = lookup(df.columns, field.name)
+        name = lookup(types, field.name)
         if name is None:
             value = F.lit(None).cast(field.dataType)
         else:
-            value = safe_cast(column(name), df.schema[name].dataType, field.dataType)
+            value = safe_cast(column(name), types[name], field.dataType)
         out.append(value.alias(field.name))
     return df.select(*out)
 

@@ -18,7 +18,7 @@ from stratalake.sources.tables import publish_partitions, read_partitions, upser
 
 def silver_schema(feed: Feed) -> T.StructType:
     fields = [T.StructField(f.name.lower(), f.dataType) for f in feed.schema.fields]
-    return T.StructType(fields).add(INGESTED_AT, "timestamp").add(YEAR_MONTH, "string")
+    return T.StructType(fields).add(INGESTED_AT, T.TimestampType()).add(YEAR_MONTH, T.StringType())
 
 
 def cleaned(bronze: DataFrame, feed: Feed) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stratalake.operators.conform import union_all
 from stratalake.operators.schema import enforce_schema
-from stratalake.sources.tables import publish, version_dir, versions
+from stratalake.sources.tables import LEVEL, publish, version_dir, versions
 
 # The columns of Spark's own file listing source; ``content`` is never read here.
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
@@ -71,10 +71,10 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     loads = versions(spark, ledger)
     if not loads:
         return spark.createDataFrame([], "path string, load_id bigint")
-    df = spark.read.schema("path string, v bigint").option("basePath", ledger).parquet(
+    df = spark.read.schema(f"path string, {LEVEL} bigint").option("basePath", ledger).parquet(
         *[version_dir(ledger, n) for n in loads]
     )
-    return df.select("path", F.col("v").alias("load_id"))
+    return df.select("path", F.col(LEVEL).alias("load_id"))
 
 
 def pending_files(spark: SparkSession, landing: str, ledger: str, exclude: Sequence[str] = ()) -> DataFrame:

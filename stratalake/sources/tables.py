@@ -1,7 +1,7 @@
 """Published Parquet tables.
 
 Spark cannot overwrite files that the same plan reads, so each write goes to a
-new directory ``v=<n>`` below the table path and counts once its ``_SUCCESS``
+new directory ``table_version=<n>`` below the table path and counts once its ``_SUCCESS``
 marker is there. A lost executor or driver leaves at most an unmarked
 directory, which the next write of that number replaces.
 
@@ -23,7 +23,9 @@ from stratalake.operators.dedup import keep_one
 from stratalake.operators.upsert import upsert
 from stratalake.sources.storage import children, exists
 
-PREFIX = "v="
+# The directory level of the versions; no table may have a column of this name.
+LEVEL = "table_version"
+PREFIX = f"{LEVEL}="
 # How Spark writes a null partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -60,6 +62,8 @@ def publish(
     complete already, nothing is written.
     """
     spark = df.sparkSession
+    if LEVEL in (c.lower() for c in df.columns):
+        raise AnalysisException(f"A published table cannot have a column {LEVEL!r}")
     number = _next(spark, path) if version is None else version
     if version is not None and version in versions(spark, path):
         return number
@@ -119,7 +123,7 @@ def read_partitions(
         dirs = {value: d for value, d in dirs.items() if value in wanted}
     if not dirs:
         return spark.createDataFrame([], schema)
-    # ``v`` is a directory level too; selecting the schema's columns leaves it out.
+    # The version is a directory level too; selecting the schema's columns leaves it out.
     df = spark.read.schema(schema).option("basePath", path).parquet(*dirs.values())
     return df.select(*[column(c) for c in schema.names])
 
