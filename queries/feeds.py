@@ -13,7 +13,8 @@ from queries.registry import query, table
 from stratalake.operators.aggregate import monthly_aggregate
 from stratalake.operators.schema import enforce_schema, lower_names
 from stratalake.plans.gold import to_gold
-from stratalake.plans.report import hourly_answer, report, total_answer
+from stratalake.plans.inspect import inspect
+from stratalake.plans.report import hourly_answer, report, report_lines, total_answer
 from stratalake.plans.silver import to_silver
 from stratalake.sources.feeds import FEEDS
 
@@ -251,23 +252,60 @@ def hourly_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_answer(silver(spark, sf_dir, "yellow")).withColumn("hora", F.col("hora").cast("bigint"))
 
 
-TOTAL_SQL = f"""SELECT round(avg(faturamento_total), 4) AS media_total_amount
-    FROM ({monthly_sql(gold_sql(RAW_SQL))}) WHERE service_type = 'yellow'"""
+TOTAL_SQL = f"""SELECT CAST(sum(CAST(faturamento_total AS DECIMAL(18,2))) AS DOUBLE) / count(faturamento_total)
+    AS media_total_amount FROM ({monthly_sql(gold_sql(RAW_SQL))}) WHERE service_type = 'yellow'"""
 
 
 @query("mean_of_group_totals", TOTAL_SQL)
 def mean_of_yellow_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return total_answer(gold_monthly(spark, sf_dir)).select(
-        F.round("media_total_amount", 4).alias("media_total_amount")
-    )
+    return total_answer(gold_monthly(spark, sf_dir), scale=2)
+
+
+HOURS_IN_MAY = HOURS_SQL.format(yellow=SILVER_SQL["yellow"])
 
 
 @query(
     "report_rows",
     f"""SELECT 'media_total_amount' AS metric, 'yellow' AS key, media_total_amount AS value FROM ({TOTAL_SQL})
-        UNION ALL SELECT 'media_passageiros', CAST(hora AS VARCHAR), round(media_passageiros, 4)
-        FROM ({HOURS_SQL.format(yellow=SILVER_SQL["yellow"])})""",
+        UNION ALL SELECT 'media_passageiros', CAST(hora AS VARCHAR), media_passageiros FROM ({HOURS_IN_MAY})""",
 )
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = report(gold_monthly(spark, sf_dir), silver(spark, sf_dir, "yellow"))
-    return rows.withColumn("value", F.round("value", 4))
+    return report(gold_monthly(spark, sf_dir), silver(spark, sf_dir, "yellow"), scale=2)
+
+
+@query(
+    "report_text",
+    f"""SELECT 1 AS line_no, 'VALIDAÇÃO DAS MÉTRICAS ANALÍTICAS' AS line UNION ALL SELECT 2, '==============================='
+        UNION ALL SELECT 3, '' UNION ALL SELECT 5, ''
+        UNION ALL SELECT 4, '[2] Média de total_amount dos Yellow Taxis: ' || CAST(media_total_amount AS VARCHAR) FROM ({TOTAL_SQL})
+        UNION ALL SELECT 6, '[3] Média de passageiros por hora do dia (maio):'
+        UNION ALL SELECT 7 + hora, printf('Hora %d: média = %.2f', hora, media_passageiros) FROM ({HOURS_IN_MAY})""",
+)
+def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = report_lines(gold_monthly(spark, sf_dir), silver(spark, sf_dir, "yellow"), scale=2)
+    return lines.withColumn("line_no", F.col("line_no").cast("bigint"))
+
+
+@query(
+    "inspect_fhv",
+    f"""WITH raw AS ({raw_sql("fhv")}) """
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, '{kind}' AS type, count({c}) AS n_values, count(*) - count({c}) AS n_nulls,
+            {f"round(avg({c}), 3)" if number else "CAST(NULL AS DOUBLE)"} AS mean,
+            {f"round(stddev({c}), 3)" if number else "CAST(NULL AS DOUBLE)"} AS stddev,
+            CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM raw"""
+        for c, kind, number in (
+            ("dispatching_base_num", "string", False),
+            ("pickup_datetime", "timestamp_ntz", False),
+            ("dropOff_datetime", "timestamp_ntz", False),
+            ("PUlocationID", "bigint", True),
+            ("DOlocationID", "bigint", True),
+            ("SR_Flag", "bigint", True),
+            ("Affiliated_base_number", "string", False),
+        )
+    ),
+)
+def inspect_fhv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile an inspection of landing data gives."""
+    out = inspect(raw_feed(spark, sf_dir, "fhv"), ntz_feed("fhv").schema)["profile"]
+    return out.withColumns({"mean": F.round("mean", 3), "stddev": F.round("stddev", 3)})

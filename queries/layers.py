@@ -11,9 +11,9 @@ from stratalake.sources.feeds import FEEDS
 from stratalake.sources.storage import shared_dir
 
 
-def _run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _run(spark: SparkSession, sf_dir: str, names=tuple(FEEDS)) -> dict[str, DataFrame]:
     root = shared_dir(spark, "layers")
-    landing = {name: f"{root}/landing/{name}" for name in FEEDS}
+    landing = {name: f"{root}/landing/{name}" for name in names}
     for name, path in landing.items():
         raw_feed(spark, sf_dir, name).write.parquet(path)
     feeds = {name: ntz_feed(name) for name in FEEDS}
@@ -28,4 +28,4 @@ def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("layers_silver_yellow", SILVER_SQL["yellow"])
 def layers_silver_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir)["silver_yellow"]
+    return _run(spark, sf_dir, ["yellow"])["silver_yellow"]

@@ -23,9 +23,9 @@ from stratalake.operators.aggregate import hourly_mean, mean_of_group_totals
 PICKUP, PASSENGERS = "tpep_pickup_datetime", "passenger_count"
 
 
-def total_answer(monthly: DataFrame, service: str = "yellow") -> DataFrame:
+def total_answer(monthly: DataFrame, service: str = "yellow", scale: int | None = None) -> DataFrame:
     """Mean over the monthly groups of one service of their total revenue."""
-    return mean_of_group_totals(monthly, "faturamento_total", MEAN_TOTAL, F.col("service_type") == service)
+    return mean_of_group_totals(monthly, "faturamento_total", MEAN_TOTAL, F.col("service_type") == service, scale)
 
 
 def hourly_answer(yellow: DataFrame, month: int = 5, year: int | None = None) -> DataFrame:
@@ -33,9 +33,11 @@ def hourly_answer(yellow: DataFrame, month: int = 5, year: int | None = None) ->
     return hourly_mean(yellow, PICKUP, PASSENGERS, MEAN_PASSENGERS, month, year)
 
 
-def report(monthly: DataFrame, yellow: DataFrame, month: int = 5, year: int | None = None) -> DataFrame:
+def report(
+    monthly: DataFrame, yellow: DataFrame, month: int = 5, year: int | None = None, scale: int | None = None
+) -> DataFrame:
     """Rows ``(metric, key, value)``: one total, one row per hour."""
-    total = total_answer(monthly).select(
+    total = total_answer(monthly, scale=scale).select(
         F.lit(MEAN_TOTAL).alias("metric"), F.lit("yellow").alias("key"), F.col(MEAN_TOTAL).alias("value")
     )
     hours = hourly_answer(yellow, month, year).select(
@@ -46,7 +48,9 @@ def report(monthly: DataFrame, yellow: DataFrame, month: int = 5, year: int | No
     return total.unionByName(hours)
 
 
-def report_lines(monthly: DataFrame, yellow: DataFrame, month: int = 5, year: int | None = None) -> DataFrame:
+def report_lines(
+    monthly: DataFrame, yellow: DataFrame, month: int = 5, year: int | None = None, scale: int | None = None
+) -> DataFrame:
     """The text form: ``line_no`` and ``line``, at most one line per hour."""
 
     def line(df: DataFrame, number: Column | int, text: Column | str) -> DataFrame:
@@ -55,7 +59,7 @@ def report_lines(monthly: DataFrame, yellow: DataFrame, month: int = 5, year: in
             (text if isinstance(text, Column) else F.lit(text)).alias("line"),
         )
 
-    total = total_answer(monthly)
+    total = total_answer(monthly, scale=scale)
     head = [(1, REPORT_TITLE), (2, REPORT_RULE), (3, "")]
     parts = [line(total, n, text) for n, text in head]
     parts.append(line(total, 4, F.concat(F.lit(REPORT_TOTAL), F.coalesce(F.col(MEAN_TOTAL).cast("string"), F.lit("None")))))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -98,16 +99,16 @@ def ingest_files(
     ledger entry of that number is complete, so a crash at any point neither
     loses nor doubles rows: the next run writes the same load again.
     """
+    # The names arrive in pieces, so the driver holds one load's worth of them.
+    pending = pending_files(spark, landing, ledger, exclude).select("path").orderBy("path").toLocalIterator()
     done = 0
-    while True:
-        batch = [r.path for r in pending_files(spark, landing, ledger, exclude).orderBy("path").limit(max_files).collect()]
-        if not batch:
-            return done
+    while batch := [row.path for row in islice(pending, max_files)]:
         loads = versions(spark, ledger)
         load_id = loads[-1] + 1 if loads else 1
         load_files(spark, batch, schema, on_missing).write.mode("overwrite").parquet(version_dir(bronze, load_id))
         publish(spark.createDataFrame([(p,) for p in batch], "path string"), ledger, version=load_id)
         done += len(batch)
+    return done
 
 
 def read_bronze(

@@ -11,6 +11,10 @@ from stratalake.functions.names import column, fresh_name, require_columns
 from stratalake.sources.tables import publish, version_dir
 
 
+# Groups in the first step of merging quantile sketches.
+SHARDS = 256
+
+
 def rebalanced(df: DataFrame, *cols: str, files: int | None = None) -> DataFrame:
     """Fewer, even files without narrowing the stages before the write.
 
@@ -23,21 +27,25 @@ def rebalanced(df: DataFrame, *cols: str, files: int | None = None) -> DataFrame
     return df.hint("rebalance", *[column(c) for c in require_columns(df, cols)])
 
 
-def cluster_bounds(df: DataFrame, cols: Sequence[str], bits: int, error: float = 0.005) -> dict[str, list[float]]:
-    """Ascending bucket bounds per column: 2**bits - 1 quantiles of the data.
+def cluster_bounds(df: DataFrame, cols: Sequence[str], bits: int) -> dict[str, list[float]]:
+    """Ascending bucket bounds per column: up to 2**bits - 1 quantiles.
 
-    One aggregate over only these columns; its state is bounded by ``error``
-    and not by the table.
+    One scan of only these columns. Every task keeps a small quantile sketch;
+    the sketches are merged in two steps, so no single task takes in one from
+    every other.
     """
     cols = require_columns(df, cols)
     types = {f.name: f.dataType for f in df.schema.fields}
-    steps = [i / 2**bits for i in range(1, 2**bits)]
-    accuracy = int(1 / error)
-    numbers = df.select(*[as_number(column(c), types[c]).alias(f"q{i}") for i, c in enumerate(cols)])
-    row = numbers.agg(
-        *[F.percentile_approx(f"q{i}", steps, accuracy).alias(f"q{i}") for i in range(len(cols))]
-    ).first()
-    return {c: sorted(set(row[i] or [])) for i, c in enumerate(cols)}
+    ranks = F.array(*[F.lit(i / 2**bits) for i in range(1, 2**bits)])
+    numbers = [as_number(column(c), types[c]).cast("double").alias(f"q{i}") for i, c in enumerate(cols)]
+    shard = (F.spark_partition_id() % SHARDS).alias("shard")
+    names = [f"q{i}" for i in range(len(cols))]
+    sketches = df.select(shard, *numbers).groupBy("shard").agg(*[F.kll_sketch_agg_double(n).alias(n) for n in names])
+    merged = sketches.agg(*[F.kll_merge_agg_double(n).alias(n) for n in names])
+    # An empty sketch has no quantiles.
+    known = [F.when(F.kll_sketch_get_n_double(n) > 0, F.kll_sketch_get_quantile_double(n, ranks)).alias(n) for n in names]
+    row = merged.select(*known).first()
+    return {c: sorted(set(row[n] or [])) for c, n in zip(cols, names)}
 
 
 def with_zorder_key(

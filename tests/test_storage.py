@@ -120,6 +120,15 @@ def test_clustering_keeps_rows_and_narrows_files(spark, tmp_path):
     assert timed.columns == df.columns and timed.count() == 20000
 
 
+def test_cluster_bounds(spark):
+    df = spark.range(0, 10000, 1, 6).select("id", F.lit(None).cast("int").alias("none"), F.lit(3).alias("one"))
+    bounds = layout.cluster_bounds(df, ["id", "none", "one"], 2)
+    assert bounds["none"] == [] and bounds["one"] == [3.0]
+    assert bounds["id"] == pytest.approx([2500, 5000, 7500], abs=300)
+    assert layout.clustered(df, ["none", "id"]).count() == 10000
+    assert layout.clustered(df.filter("id < 0"), ["id"]).count() == 0
+
+
 def test_one_value_spreads_over_partitions(spark):
     df = spark.range(0, 8000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("a"), "id")
     sizes = layout.clustered(df, ["a"], files=8).groupBy(F.spark_partition_id().alias("p")).count().collect()
