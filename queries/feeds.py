@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from queries.registry import query, table
+from stratalake.fixed import MONTHLY_KEYS
 from stratalake.operators.aggregate import monthly_aggregate
 from stratalake.operators.schema import enforce_schema, lower_names
 from stratalake.plans.gold import to_gold
@@ -197,19 +198,19 @@ def gold_sql(bodies: dict[str, str]) -> str:
     )
 
 
-def monthly_sql(trips: str) -> str:
+def monthly_sql(trips: str, keys: list[str] = MONTHLY_KEYS) -> str:
     def total(c: str) -> str:
         return f"CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
 
     return f"""
-        SELECT ano_mes, service_type, provider, pulocationid, dolocationid, count(*) AS qtd_corridas,
+        SELECT {", ".join(keys)}, count(*) AS qtd_corridas,
                count(DISTINCT pulocationid) AS locais_embarque, count(DISTINCT dolocationid) AS locais_desembarque,
                {total("trip_distance")} AS distancia_total, {total("total_amount")} AS faturamento_total,
                {total("trip_distance")} / count(trip_distance) AS media_distancia,
                {total("total_amount")} / count(total_amount) AS media_valor,
                max(trip_distance) AS max_distancia, max(total_amount) AS max_valor,
                min(pickup_datetime) AS min_data, max(pickup_datetime) AS max_data
-        FROM ({trips}) GROUP BY ano_mes, service_type, provider, pulocationid, dolocationid"""
+        FROM ({trips}) GROUP BY {", ".join(keys)}"""
 
 
 RAW_SQL = {name: raw_sql(name) for name in FEEDS}
@@ -231,16 +232,13 @@ def gold_monthly_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_aggregate(to_gold({n: silver(spark, sf_dir, n) for n in FEEDS}), scale=2)
 
 
-@query(
-    "gold_by_month",
-    f"""SELECT ano_mes, service_type, count(*) AS qtd_corridas, count(DISTINCT pulocationid) AS locais_embarque,
-               count(DISTINCT dolocationid) AS locais_desembarque, max(total_amount) AS max_valor
-        FROM ({gold_sql(RAW_SQL)}) GROUP BY ano_mes, service_type""",
-)
+BY_MONTH = ["ano_mes", "service_type"]
+
+
+@query("gold_by_month", monthly_sql(gold_sql(RAW_SQL), BY_MONTH))
 def gold_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coarser keys, so the two place counts are true distinct counts."""
-    out = monthly_aggregate(gold_trips(spark, sf_dir), ["ano_mes", "service_type"], scale=2)
-    return out.select("ano_mes", "service_type", "qtd_corridas", "locais_embarque", "locais_desembarque", "max_valor")
+    return monthly_aggregate(gold_trips(spark, sf_dir), BY_MONTH, scale=2)
 
 
 HOURS_SQL = """SELECT CAST(hour(tpep_pickup_datetime) AS BIGINT) AS hora, avg(passenger_count) AS media_passageiros
