@@ -67,6 +67,6 @@ from stratalake.sources.tables import (
     upsert_partitions,
 )
 from stratalake.streaming.ingest import append_stream, ingest_stream, read_stream_bronze
-from stratalake.streaming.upsert import upsert_stream
+from stratalake.streaming.upsert import silver_stream, upsert_stream
 
 __all__ = [name for name in dir() if not name.startswith("_") and name not in ("operators", "plans", "sources", "streaming", "functions", "fixed")]

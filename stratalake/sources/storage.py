@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,18 +13,15 @@ def hadoop_path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below ``path``; empty if it does not exist."""
-    target = hadoop_path(spark, path)
+def matching(spark: SparkSession, base: str, pattern: str) -> list[list[str]]:
+    """Paths below ``base`` that match a glob of one or more levels, each as
+    its names below ``base``; empty if there are none."""
+    literal = re.sub(r"([\\*?\[\]{}])", r"\\\1", base.rstrip("/"))
+    target = hadoop_path(spark, f"{literal}/{pattern}")
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(target):
-        return []
-    return sorted(status.getPath().getName() for status in fs.listStatus(target))
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    target = hadoop_path(spark, path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    depth = pattern.count("/") + 1
+    found = fs.globStatus(target) or []
+    return sorted(str(status.getPath().toString()).split("/")[-depth:] for status in found)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from stratalake.functions.names import column, require_columns
 from stratalake.operators.dedup import keep_one
 from stratalake.operators.upsert import upsert
-from stratalake.sources.storage import children, exists
+from stratalake.sources.storage import matching
 
 # The directory level of the versions; no table may have a column of this name.
 LEVEL = "table_version"
@@ -32,8 +32,7 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions, oldest first."""
-    found = [int(n[len(PREFIX):]) for n in children(spark, path) if n.startswith(PREFIX)]
-    return sorted(v for v in found if exists(spark, f"{version_dir(path, v)}/_SUCCESS"))
+    return sorted(int(level[len(PREFIX):]) for level, _ in matching(spark, path, f"{PREFIX}*/_SUCCESS"))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -85,12 +84,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def _partition_dirs(spark: SparkSession, path: str, partition: str) -> dict[str | None, str]:
     """Partition value -> newest directory holding it."""
+    done = set(versions(spark, path))
     newest = {}
-    for version in versions(spark, path):
-        base = version_dir(path, version)
-        for name in children(spark, base):
-            if name.startswith(f"{partition}="):
-                newest[_value(name, partition)] = f"{base}/{name}"
+    # Sorted by version, so a later directory takes the place of an earlier one.
+    for level, name in matching(spark, path, f"{PREFIX}*/{partition}=*"):
+        if int(level[len(PREFIX):]) in done:
+            newest[_value(name, partition)] = f"{path.rstrip('/')}/{level}/{name}"
     return newest
 
 
@@ -102,8 +101,8 @@ def _value(directory: str, partition: str) -> str | None:
 
 def partition_values(spark: SparkSession, path: str, partition: str, version: int) -> list[str | None]:
     """Values of the partitions that one version wrote."""
-    names = children(spark, version_dir(path, version))
-    return [_value(n, partition) for n in names if n.startswith(f"{partition}=")]
+    names = matching(spark, version_dir(path, version), f"{partition}=*")
+    return [_value(name, partition) for (name,) in names]
 
 
 def publish_partitions(

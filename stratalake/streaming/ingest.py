@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.sources.files import LISTING, load_files, wanted
-from stratalake.sources.storage import children
-from stratalake.sources.tables import publish, version_dir, versions
+from stratalake.sources.storage import matching
+from stratalake.sources.tables import LEVEL, publish, versions
 
 STREAM = "stream="
 
@@ -82,11 +82,8 @@ def ingest_stream(
 
 def read_stream_bronze(spark: SparkSession, bronze: str, schema: T.StructType) -> DataFrame:
     """All complete batches of all streams that wrote below ``bronze``."""
-    paths = []
-    for name in children(spark, bronze):
-        if name.startswith(STREAM):
-            target = f"{bronze}/{name}"
-            paths += [version_dir(target, n) for n in versions(spark, target)]
+    done = matching(spark, bronze, f"{STREAM}*/{LEVEL}=*/_SUCCESS")
+    paths = [f"{bronze.rstrip('/')}/{stream}/{version}" for stream, version, _ in done]
     if not paths:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", bronze).parquet(*paths).select(*schema.names)

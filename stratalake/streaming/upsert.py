@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.operators.dedup import keep_one
 from stratalake.operators.upsert import upsert
+from stratalake.plans.silver import publish_silver
+from stratalake.sources.feeds import Feed
 from stratalake.sources.tables import publish, read_table, table_exists, upsert_partitions
 
 
@@ -40,8 +42,20 @@ def upsert_stream(
         else:
             publish(keep_one(rows, keys, list(order_by)), path)
 
+    return _each_batch(stream, merge, checkpoint)
+
+
+def silver_stream(
+    stream: DataFrame, feed: Feed, path: str, checkpoint: str, as_of: object | None = None
+) -> StreamingQuery:
+    """Clean, de-duplicate and upsert all available bronze rows of a feed,
+    rewriting only the months each micro-batch touches, then stop."""
+    return _each_batch(stream, lambda batch, _: publish_silver(batch, feed, path, as_of), checkpoint)
+
+
+def _each_batch(stream: DataFrame, step: Callable[[DataFrame, int], object], checkpoint: str) -> StreamingQuery:
     return (
-        stream.writeStream.foreachBatch(merge)
+        stream.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
