@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -55,6 +56,7 @@ def main() -> None:
         .appName("bench")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,13 +26,8 @@ def matching(spark: SparkSession, base: str, pattern: str) -> list[list[str]]:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new directory below the shared folder of the session.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. A local session
-    without it gets a temporary folder; a cluster without it is an error, as
-    executors could not see each other's files.
+    The cluster names that folder in ``spark.checkpoint.dir``; where it is
+    unset, the warehouse directory serves, which executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="stratalake-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

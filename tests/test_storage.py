@@ -64,17 +64,15 @@ def test_views(spark, tmp_path):
     assert spark.sql("select (select count(*) from by_path) + (select count(*) from by_frame) n").first().n == 6
 
 
-def session(master, folder=None):
-    conf = SimpleNamespace(get=lambda key, default=None: folder if key == "spark.checkpoint.dir" else default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+def session(**settings):
+    conf = SimpleNamespace(get=lambda key, default=None: settings.get(key.replace(".", "_"), default))
+    return SimpleNamespace(conf=conf)
 
 
 def test_shared_dir(spark):
-    one, two = (storage.shared_dir(session("yarn", "hdfs://lake/tmp/"), "x") for _ in range(2))
+    one, two = (storage.shared_dir(session(spark_checkpoint_dir="hdfs://lake/tmp/"), "x") for _ in range(2))
     assert one != two and one.startswith("hdfs://lake/tmp/x-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        storage.shared_dir(session("yarn"), "x")
-    assert "stratalake-" in storage.shared_dir(session("local[2]"), "x")
+    assert storage.shared_dir(session(spark_sql_warehouse_dir="s3a://lake/w"), "x").startswith("s3a://lake/w/x-")
     assert storage.shared_dir(spark, "x") != storage.shared_dir(spark, "x")
 
 
