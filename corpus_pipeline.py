@@ -3,18 +3,42 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import packing
+from stratalake.llm import jaccard, packing, substrings, toxicity
 from stratalake.llm.common import written
 
 
+def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier does not reject; it learns from the labels of the documents given."""
+    model = toxicity.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.filter(toxicity.toxicity(model, F.col("text")) < toxicity.THRESHOLD)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-duplicates the document with the smallest id; documents without an id all stay."""
+    kept = jaccard.components(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    once = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that a document with a smaller id has; ``n_chars`` is that of the text left."""
+    left = substrings.drop_repeated_passages(docs)
+    return left.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed pieces of all documents that are left."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("toxicity", keep_harmless),
+    ("near-duplicates", keep_one_of_each_group),
+    ("substrings", cut_repeated_passages),
+    ("packing", pack),
+]
 ORACLE_SQL = None
 
 

@@ -121,10 +121,3 @@ def rolling(data: np.ndarray, window: int) -> np.ndarray:
         h[span:] += h[:-span] * np.uint32(factor)
         span, factor = 2 * span, factor * factor & 0xFFFFFFFF
     return h
-
-
-def binary_array(data: np.ndarray, width: int) -> pa.Array:
-    """A binary column of equally long values."""
-    rows = len(data) * data.itemsize // width
-    offsets = np.arange(0, (rows + 1) * width, width, dtype=np.int32)
-    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])

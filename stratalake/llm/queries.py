@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, chat, fingerprints, packing, substrings, topk, toxicity, url_filter, warc
+from stratalake.llm import bpe, chat, fingerprints, jaccard, packing, substrings, topk, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -126,3 +126,29 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learned(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, model)
+
+
+@query(
+    "op10_jaccard",
+    r"""
+    WITH RECURSIVE sets AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^ 	-]+') AS w FROM documents),
+    shingles AS (
+        SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+        FROM sets WHERE len(w) > 0),
+    flat AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM shingles),
+    shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common
+        FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS MATERIALIZED (
+        SELECT a, b FROM shared WHERE 100 * common >= 75 * (na + nb - common)
+        UNION SELECT b, a FROM shared WHERE 100 * common >= 75 * (na + nb - common)),
+    reached AS (SELECT doc_id, doc_id AS other FROM documents
+        UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a)
+    SELECT doc_id, coalesce(any_value(len(s)), 0)::BIGINT AS n_shingles, min(other) AS component_id
+    FROM reached LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
