@@ -14,8 +14,8 @@ sets that have at least as many of them as a linked pair must share, and these s
 up to GROUP all pairs are candidates, in larger ones all pairs with the first member. (4) Candidates are dropped where
 the Hamming distance of their bit sketches (parities of elements per bit, again a lower bound of the difference) is too
 large, and the others are verified by their whole sets. (5) Links give components. Larger groups that still hold several
-components are compared block by block, sets of different components only, by the same bounds; what is found is verified
-and joined to the components. No link between different sets is lost, and equal sets are one node from the start.
+components are put together by their first member and compared block by block, sets of different components only, by the
+same bounds; what is found is verified and joined to the components. No link between different sets is lost, and equal sets are one node from the start.
 
 Elements and sets are hashed to 64 bits.
 
@@ -144,8 +144,8 @@ class Bands:
 
 
 def bit_sketch(own: np.ndarray) -> bytes:
-    """Parities of the number of elements for each of 64 to LARGE_BITS bits, about as many as elements."""
-    bits = min(LARGE_BITS, max(SMALL_BITS, 1 << (len(own) - 1).bit_length()))
+    """Parities of the number of elements for each of 64 to LARGE_BITS bits, about twice as many as elements."""
+    bits = min(LARGE_BITS, max(SMALL_BITS, 1 << (2 * len(own) - 1).bit_length()))
     return np.packbits((np.bincount((own & U64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
@@ -310,13 +310,15 @@ class Grouping:
         self.clear()
 
     def clear(self) -> None:
+        self.waiting = 0
         self.pairs: list[tuple] = []  # nodes and sizes of both sides
-        self.members: list[tuple] = []  # symbol, node, size
+        self.members: list[tuple] = []  # first node of the group, node, size
 
     def star(self, head: tuple, rows: list[np.ndarray]) -> None:
         n = len(rows[0])
         self.pairs.append((np.full(n, head[1]), rows[1], np.full(n, head[2]), rows[2]))
-        self.members.append(tuple(rows))
+        self.members.append((np.full(n, head[1]), rows[1], rows[2]))
+        self.waiting += 2 * n
 
     def add(self, batch: list[np.ndarray], goes_on: bool) -> None:
         rows = [np.concatenate(x) for x in zip(self.open, batch)]
@@ -342,11 +344,12 @@ class Grouping:
             for i in range(n if len(at) else 0):
                 for j in range(i + 1, n):
                     self.pairs.append((rows[1][at + i], rows[1][at + j], rows[2][at + i], rows[2][at + j]))
+            self.waiting += len(at) * n * (n - 1) // 2
         for at, n in zip(starts[lengths > GROUP].tolist(), lengths[lengths > GROUP].tolist()):
             self.star(tuple(x[at] for x in rows), [x[at : at + n] for x in rows])
 
     def taken(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Distinct pairs of close sizes, the smaller node first, and members of large groups, since the last call."""
+        """Distinct pairs of close sizes, the smaller node first, and distinct members of large groups, since the last call."""
         a, b, size_a, size_b = (np.concatenate(x) for x in zip(*self.pairs)) if self.pairs else [np.zeros(0, np.int64)] * 4
         members = [np.concatenate(x) for x in zip(*self.members)] if self.members else [np.zeros(0, np.int64)] * 3
         self.clear()
@@ -357,33 +360,38 @@ class Grouping:
         pairs = [x[order] for x in pairs]
         once = np.ones(len(order), bool)
         once[1:] = (pairs[0][1:] != pairs[0][:-1]) | (pairs[1][1:] != pairs[1][:-1])
-        return [x[once] for x in pairs], members
+        order = np.lexsort((members[1], members[0]))
+        members = [x[order] for x in members]
+        other = np.ones(len(order), bool)
+        other[1:] = (members[0][1:] != members[0][:-1]) | (members[1][1:] != members[1][:-1])
+        return [x[once] for x in pairs], [x[other] for x in members]
 
 
 def grouped(symbols: DataFrame, percent: int) -> DataFrame:
-    """Rows of two kinds: candidate pairs ``a, b, size_a, size_b`` (``symbol`` null), and members ``symbol, a, size_a`` of
-    groups larger than GROUP (``b`` null)."""
-    names = ["symbol", "a", "b", "size_a", "size_b"]
+    """Rows of two kinds: candidate pairs ``a, b, size_a, size_b`` (``head`` null), and members ``head, a, size_a`` of
+    groups larger than GROUP with that first node (``b`` null)."""
+    names = ["head", "a", "b", "size_a", "size_b"]
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = Grouping(percent)
 
         def out() -> Iterator[pa.RecordBatch]:
-            (a, b, size_a, size_b), (symbol, member, size) = groups.taken()
-            none, nobody = pa.nulls(len(a), pa.int64()), pa.nulls(len(symbol), pa.int64())
+            (a, b, size_a, size_b), (head, member, size) = groups.taken()
+            none, nobody = pa.nulls(len(a), pa.int64()), pa.nulls(len(head), pa.int64())
             if len(a):
                 yield pa.RecordBatch.from_arrays([none, pa.array(a), pa.array(b), pa.array(size_a), pa.array(size_b)], names)
-            if len(symbol):
-                yield pa.RecordBatch.from_arrays([pa.array(symbol), pa.array(member), nobody, pa.array(size), nobody], names)
+            if len(head):
+                yield pa.RecordBatch.from_arrays([pa.array(head), pa.array(member), nobody, pa.array(size), nobody], names)
 
         for batch in batches:
             groups.add([batch.column(i).to_numpy() for i in range(3)], True)
-            yield from out()
+            if groups.waiting > SEND:
+                yield from out()
         groups.add([np.zeros(0, np.int64)] * 3, False)
         yield from out()
 
     rows = symbols.select("symbol", "node", "size").repartition("symbol").sortWithinPartitions("symbol", "node")
-    return rows.mapInArrow(group, "symbol long, a long, b long, size_a long, size_b long")
+    return rows.mapInArrow(group, "head long, a long, b long, size_a long, size_b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -419,12 +427,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different roots in the groups ``symbol, a, size_a, root``, block against block."""
-    mixed_groups = members.groupBy("symbol").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter("low < high")
-    rows = members.join(mixed_groups.select("symbol", "n"), "symbol").join(sets.select(F.col("node").alias("a"), "sketch"), "a")
+    """Candidate pairs of different roots among the members ``head, a, size_a, root`` of large groups with the same first
+    node, block against block."""
+    several = members.groupBy("head").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter("low < high")
+    rows = members.join(several.select("head", "n"), "head").join(sets.select(F.col("node").alias("a"), "sketch"), "a")
     rows = rows.withColumn("blocks", F.floor(F.col("n") / MEMBERS).cast("long") + 1).withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("symbol", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "a", "size_a", "root", "sketch")
+    rows = rows.select("head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "a", "size_a", "root", "sketch")
 
     def compare(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
@@ -446,7 +455,7 @@ def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         left, right = np.where(swap, right, left), np.where(swap, left, right)
         return pa.table({"a": a[left], "b": a[right], "size_a": size[left], "size_b": size[right]})
 
-    return rows.groupBy("symbol", "i", "j").applyInArrow(compare, "a long, b long, size_a long, size_b long").distinct()
+    return rows.groupBy("head", "i", "j").applyInArrow(compare, "a long, b long, size_a long, size_b long").distinct()
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -457,12 +466,12 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = rows.filter("kind = 2").groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("hashes").alias("hashes"))
     sets = written(sets, "sets")
     found = written(grouped(rows.filter("kind = 1"), percent), "groups")
-    pairs = found.filter("symbol is null").select("a", "b", "size_a", "size_b").distinct()
+    pairs = found.filter("head is null").select("a", "b", "size_a", "size_b").distinct()
     # sets with the same id belong together
     same = members.filter("id is not null and node is not null").groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("a", "b")
     links = written(verified(pairs, sets, percent).unionByName(same), "links")
     roots = connected(links)
-    large = found.filter("symbol is not null").select("symbol", "a", "size_a").distinct()
+    large = found.filter("head is not null").select("head", "a", "size_a").distinct()
     large = large.join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
     more = written(verified(across(large, sets, percent), sets, percent), "links")
     if not more.isEmpty():
