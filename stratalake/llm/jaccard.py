@@ -44,6 +44,8 @@ BLOCK = 2_000_000
 FILTER_BITS, BUCKET, SEND = 1 << 27, 2_000_000, 1_000_000
 #: Largest group whose pairs are all candidates; members of a block in the comparison of larger groups.
 GROUP, MEMBERS = 16, 1024
+#: Closest candidates of each member in the first comparison of larger groups; the second one takes all.
+NEAREST = 3
 #: Nodes that a task remembers so as not to repeat them.
 SEEN = 500_000
 SMALL_BITS, LARGE_BITS = 64, 1 << 14
@@ -426,9 +428,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return beside(written(close, "close"), "hashes").filter(similar("hashes_a", "hashes_b")).select("a", "b")
 
 
-def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def across(members: DataFrame, sets: DataFrame, percent: int, nearest: int | None = None) -> DataFrame:
     """Candidate pairs of different roots among the members ``head, a, size_a, root`` of large groups with the same first
-    node, block against block."""
+    node, block against block; with ``nearest`` only so many for each member, those with the closest sketches."""
     several = members.groupBy("head").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter("low < high")
     rows = members.join(several.select("head", "n"), "head").join(sets.select(F.col("node").alias("a"), "sketch"), "a")
     rows = rows.withColumn("blocks", F.floor(F.col("n") / MEMBERS).cast("long") + 1).withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")))
@@ -447,7 +449,10 @@ def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for x in rare.tolist():
             other = np.flatnonzero((root != root[x]) & close_sizes(size, size[x], percent) & ((own != own[x]) if i != j else True))
             apart = np.bitwise_count(sketch[other] ^ sketch[x]).sum(1)
-            other = other[apart <= most_apart(size[other], size[x], percent)]
+            fits = apart <= most_apart(size[other], size[x], percent)
+            other, apart = other[fits], apart[fits]
+            if nearest is not None:
+                other = other[np.argsort(apart, kind="stable")[:nearest]]
             left.append(np.full(len(other), x))
             right.append(other)
         left, right = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (left, right))
@@ -471,11 +476,14 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = members.filter("id is not null and node is not null").groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("a", "b")
     links = written(verified(pairs, sets, percent).unionByName(same), "links")
     roots = connected(links)
-    large = found.filter("head is not null").select("head", "a", "size_a").distinct()
-    large = large.join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
-    more = written(verified(across(large, sets, percent), sets, percent), "links")
-    if not more.isEmpty():
-        roots = connected(links.unionByName(more))
+    large = written(found.filter("head is not null").select("head", "a", "size_a").distinct(), "large")
+    # first the nearest of each, which joins most of what belongs together, then all that is left
+    for nearest in (NEAREST, None):
+        own = large.join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
+        more = written(verified(across(own, sets, percent, nearest), sets, percent), "links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            roots = connected(links)
     classes = members.filter("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("least"))
     classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
