@@ -34,7 +34,7 @@ BIN, DEPTH = 16, 3
 #: Pieces in one shard of a bin, and in one group of the greedy rest.
 SHARD = 50_000
 #: Words in a worker's cache.
-WORDS = 800_000
+WORDS = 200_000
 #: Words that are handled here (ASCII and the letters U+00C0 to U+017F but U+0130, all of them in composed form and with
 #: plain lower case), and the pieces of their lower-cased form: the tokenizer's pattern over these characters.
 PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")

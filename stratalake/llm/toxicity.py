@@ -30,13 +30,13 @@ from stratalake.functions.names import column
 DIMENSIONS = 1 << 18
 STEMS = (4, 5, 6)
 #: Bounds of the training sample, in documents: rows with the smallest hashes of their ids.
-POSITIVES, UNLABELLED = 3000, 6000
+POSITIVES, UNLABELLED = 2000, 4000
 THRESHOLD = 0.7
 NORM = 0.5
 SEEN, SURE, FLOOR = 5, 4.0, 0.01
 WORD = re.compile(r"[^\W\d_]+")
 #: Words in a worker's cache.
-WORDS = 400_000
+WORDS = 200_000
 
 
 def word_features(word: str) -> list[int]:
