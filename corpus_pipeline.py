@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.llm import jaccard, packing, substrings, toxicity
-from stratalake.llm.common import written
+from stratalake.llm.common import bounded_batches, written
 
 
 def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject; it learns from the labels of the documents given."""
+    bounded_batches(spark)
     model = toxicity.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.filter(toxicity.toxicity(model, F.col("text")) < toxicity.THRESHOLD)
 
@@ -24,6 +25,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a document with a smaller id has; ``n_chars`` is that of the text left."""
+    bounded_batches(spark)
     left = substrings.drop_repeated_passages(docs)
     return left.withColumn("n_chars", F.char_length("text").cast("long"))
 

@@ -14,10 +14,22 @@ from stratalake.sources.storage import shared_dir
 U64 = np.uint64
 
 
+#: Rows of an Arrow batch: texts are long, and a batch is held in the JVM and in the worker at once.
+BATCH = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lets the session send at most BATCH rows at a time to Python workers."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, BATCH)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The table after a write to the shared folder: cuts the lineage, so that
     lost executors cost no recomputation, and is computed once."""
     spark: SparkSession = df.sparkSession
+    bounded_batches(spark)
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -41,13 +41,13 @@ from stratalake.llm.components import connected
 WORDS, PERCENT = 5, 75
 BLOCK = 2_000_000
 #: Bits of the filter of shared symbols; symbols per bucket it is made from; symbols a task sends at a time.
-FILTER_BITS, BUCKET, SEND = 1 << 27, 2_000_000, 1_000_000
+FILTER_BITS, BUCKET, SEND = 1 << 27, 1_000_000, 1_000_000
 #: Largest group whose pairs are all candidates; members of a block in the comparison of larger groups.
 GROUP, MEMBERS = 16, 1024
 #: Closest candidates of each member in the first comparison of larger groups; the second one takes all.
 NEAREST = 3
 #: Nodes that a task remembers so as not to repeat them.
-SEEN = 500_000
+SEEN = 200_000
 SMALL_BITS, LARGE_BITS = 64, 1 << 14
 
 LOWER = np.arange(256, dtype=np.uint8)

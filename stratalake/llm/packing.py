@@ -135,6 +135,7 @@ def token_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 arrays += [pa.array(out[n], pa.int64()) for n in names[1:5]]
                 arrays += [pa.array(out["ids"], pa.binary())] if keep_ids else []
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *names[1 : 6 if keep_ids else 5]])
+        coder.cache_clear()  # a worker goes on to other work, and the vocabulary with its words is large
 
     chosen = df.select(column(id_col).alias("doc_id"), column(text_col).cast("string").alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()

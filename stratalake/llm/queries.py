@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.llm import bpe, chat, fingerprints, jaccard, packing, substrings, topk, toxicity, url_filter, warc
+from stratalake.llm.common import bounded_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,6 +25,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -133,7 +135,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
     WITH RECURSIVE sets AS (
         SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                          '[^ 	-]+') AS w FROM documents),
+                                          '[^ 	-
+]+') AS w FROM documents),
     shingles AS (
         SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
         FROM sets WHERE len(w) > 0),
