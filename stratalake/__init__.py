@@ -25,7 +25,6 @@ from stratalake.operators.dedup import drop_duplicates, keep_latest, keep_max, k
 from stratalake.operators.hashing import (
     dataset_fingerprint,
     dataset_hash_value,
-    ordered_dataset_hash,
     with_row_hash,
 )
 from stratalake.operators.masking import hash_column, mask_all, mask_cpf, mask_email, mask_phone

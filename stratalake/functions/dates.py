@@ -7,7 +7,8 @@ from pyspark.sql import Column, functions as F, types as T
 
 def year_month(c: Column) -> Column:
     """'yyyyMM' text, from integer parts (no formatter, no zone conversion)."""
-    return F.lpad((F.year(c) * 100 + F.month(c)).cast("string"), 6, "0")
+    digits = (F.year(c) * 100 + F.month(c)).cast("string")
+    return F.when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits)
 
 
 def zone_to_utc(c: Column, dtype: T.DataType, source_tz: str) -> Column:

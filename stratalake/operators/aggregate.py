@@ -20,13 +20,25 @@ def _distinct(name: str, keys: Sequence[str], approximate: bool) -> Column:
     return F.approx_count_distinct(c) if approximate else F.countDistinct(c)
 
 
+# Whole numbers below EXACT are exact in a double. They are summed as two lanes of LANE and fewer bits, so that no sum of
+# less than some 10**10 rows can leave 64 bits.
+EXACT, LANE = 2.0**53, 2.0**26
+
+
 def _total(name: str, scale: int | None) -> Column:
-    c = column(name)
+    """Sum; with ``scale``, of whole units, which is exact in any order. Values that are no exact whole number of units
+    (not finite, or too large) are summed as doubles and added, so none is lost."""
+    c = column(name).cast("double") if scale is not None else column(name)
     if scale is None:
         return F.sum(c)
-    # Sums of whole numbers are exact; beyond 64 bits they fail rather than wrap.
-    unit = 10**scale
-    return F.sum(F.rint(c * F.lit(unit)).try_cast("bigint")).cast("double") / F.lit(float(unit))
+    unit = F.lit(float(10**scale))
+    whole = F.rint(c * unit)
+    fits = F.abs(whole) < F.lit(EXACT)
+    high = F.floor(whole / F.lit(LANE))
+    lanes = [F.sum(F.when(fits, v).cast("bigint")).cast("decimal(38,0)") for v in (high, whole - high * F.lit(LANE))]
+    exact = (lanes[0] * F.lit(int(LANE)).cast("decimal(10,0)") + lanes[1]).cast("double") / unit
+    rest = F.sum(F.when(~fits, c))
+    return F.coalesce(exact + rest, exact, rest)
 
 
 def _mean(name: str, scale: int | None) -> Column:

@@ -47,7 +47,7 @@ def _filled(c: Column, source: T.DataType, kind: str, default: object | None) ->
     if kind in NUMERIC and source != target:
         # Only a missing value is filled; one that does not convert stays null.
         return F.when(c.isNotNull(), safe_cast(c, source, target)).otherwise(filler)
-    return F.coalesce(c, filler)
+    return F.coalesce(c.cast(target) if kind == "string" else c, filler)
 
 
 def fill_nulls(df: DataFrame, cols: Iterable[str], kind: str, default: object | None = None) -> DataFrame:

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from stratalake.functions.digests import LANES, lane_sums, row_digest
-from stratalake.functions.names import column, fresh_name, quoted, require_columns
+from stratalake.functions.names import column, fresh_name, require_columns
 
 DATASET_HASH = "dataset_hash"
-# Rows the exact form accepts: 64 characters each in one aggregate buffer.
-EXACT_ROW_LIMIT = 1_000_000
 
 
 def with_row_hash(
@@ -38,24 +36,6 @@ def dataset_fingerprint(df: DataFrame, cols: Sequence[str], null_token: str | No
     return sums.select("n_rows", F.sha2(F.concat_ws("-", *parts), 256).alias(DATASET_HASH))
 
 
-def ordered_dataset_hash(df: DataFrame, cols: Sequence[str], max_rows: int = EXACT_ROW_LIMIT) -> DataFrame:
-    """One row: SHA-256 of all row hashes, concatenated in the order of ``cols``.
-
-    SHA-256 over one ordered text cannot be split, so this form is for small
-    tables: it counts first and refuses more than ``max_rows``. Use
-    ``dataset_fingerprint`` for anything larger.
-    """
-    cols = require_columns(df, cols)
-    seen = df.select(F.lit(1)).limit(max_rows + 1).count()
-    if seen > max_rows:
-        raise ValueError(f"More than {max_rows} rows; use dataset_fingerprint")
-    digest = fresh_name(df, "digest")
-    hashed = df.select(*[column(c) for c in cols], row_digest([column(c) for c in cols]).alias(digest))
-    order = ", ".join(quoted(c) for c in cols)
-    joined = F.expr(f"coalesce(listagg({quoted(digest)}, '') WITHIN GROUP (ORDER BY {order}), '')")
-    return hashed.agg(F.sha2(joined, 256).alias(DATASET_HASH))
-
-
-def dataset_hash_value(df: DataFrame, cols: Sequence[str], max_rows: int = EXACT_ROW_LIMIT) -> str:
-    """The exact hash as a Python text."""
-    return ordered_dataset_hash(df, cols, max_rows).first()[DATASET_HASH]
+def dataset_hash_value(df: DataFrame, cols: Sequence[str]) -> str:
+    """The fingerprint as a Python text."""
+    return dataset_fingerprint(df, cols).first()[DATASET_HASH]

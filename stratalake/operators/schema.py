@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratalake.functions.casting import safe_cast
 from stratalake.functions.names import column, lookup, require_columns
@@ -34,14 +34,16 @@ def enforce_schema(df: DataFrame, schema: T.StructType, on_missing: str = "error
 
 def cast_via_string(df: DataFrame, schema: T.StructType) -> DataFrame:
     """As ``enforce_schema``, but every value goes through its text form, so
-    all source types follow the one rule for text."""
+    all source types follow the one rule for text. Columns that have the type
+    already stay as they are."""
     names = require_columns(df, schema.names)
-    return df.select(
-        *[
-            safe_cast(column(name).cast("string"), T.StringType(), field.dataType).alias(field.name)
-            for name, field in zip(names, schema.fields)
-        ]
-    )
+
+    def through_text(name: str, target: T.DataType) -> Column:
+        if df.schema[name].dataType == target:
+            return column(name)
+        return safe_cast(column(name).cast("string"), T.StringType(), target)
+
+    return df.select(*[through_text(name, f.dataType).alias(f.name) for name, f in zip(names, schema.fields)])
 
 
 def lower_names(df: DataFrame) -> DataFrame:

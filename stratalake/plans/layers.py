@@ -74,6 +74,6 @@ def run_layers(
     tables["gold_trips"] = read_gold_trips(spark, trips_path, timestamp)
     tables["gold_monthly"] = read_gold_monthly(spark, monthly_path, timestamp)
     if "silver_yellow" in tables:
-        tables["report"] = report(tables["gold_monthly"], tables["silver_yellow"])
+        tables["report"] = report(tables["gold_monthly"], tables["silver_yellow"], scale=scale)
     register_views(spark, tables)
     return tables

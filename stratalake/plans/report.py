@@ -16,6 +16,7 @@ from stratalake.fixed import (
     REPORT_RULE,
     REPORT_TITLE,
     REPORT_TOTAL,
+    YEAR_MONTH,
 )
 from stratalake.functions.names import lookup
 from stratalake.operators.aggregate import hourly_mean, mean_of_group_totals
@@ -29,7 +30,13 @@ def total_answer(monthly: DataFrame, service: str = "yellow", scale: int | None
 
 
 def hourly_answer(yellow: DataFrame, month: int = 5, year: int | None = None) -> DataFrame:
-    """Mean passengers by hour of day in one month."""
+    """Mean passengers by hour of day in one month.
+
+    Silver is partitioned by month, so the month also selects the partitions to read.
+    """
+    if YEAR_MONTH in yellow.columns:
+        own = F.col(YEAR_MONTH)
+        yellow = yellow.filter(own.endswith(f"{month:02d}") if year is None else own == f"{year:04d}{month:02d}")
     return hourly_mean(yellow, PICKUP, PASSENGERS, MEAN_PASSENGERS, month, year)
 
 

@@ -1,3 +1,4 @@
+import math
 from datetime import datetime
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from stratalake.fixed import MONTHLY_KEYS, MONTHLY_MEASURES
+from stratalake.operators import aggregate
 from stratalake.operators.aggregate import hourly_mean, mean_of_group_totals, monthly_aggregate, monthly_mean
 from stratalake.operators.conform import code_label, conform, typed_null, union_all
 from stratalake.plans.gold import to_gold
@@ -158,3 +160,13 @@ def test_inspection_isolates_failures(spark):
     out = inspect_feeds({"fhv": good, "green": spark.range(1)})
     assert out["fhv"]["profile"].count() == 7 and out["fhv"]["first"].count() == 1
     assert isinstance(out["green"], AnalysisException)
+
+
+def test_scaled_sums_lose_nothing(spark, either_mode):
+    """Values that are no exact number of cents are summed as doubles; nothing wraps."""
+    one = lambda values: spark.createDataFrame([(v,) for v in values], "x double").agg(aggregate._total("x", 2).alias("t"), aggregate._mean("x", 2).alias("m")).first()
+    assert one([9e16] * 200).t == pytest.approx(1.8e19, rel=1e-12)
+    assert math.isnan(one([1.0, float("nan"), 1e18, 2.0]).t)
+    assert one([float("inf"), 1.0]).t == float("inf")
+    assert tuple(one([0.1] * 10 + [-0.25, None])) == (0.75, 0.75 / 11)
+    assert one([1e18, 1.5]).t == 1e18 + 1.5 and one([None]).t is None

@@ -30,18 +30,9 @@ def test_null_token_keeps_separators_and_tokens_apart(spark):
     assert strict.select("row_hash").distinct().count() == len(data)
 
 
-def test_ordered_hash_matches_its_definition(spark):
-    data = [(3, "c"), (1, "b"), (1, "a"), (None, "z"), (2, None)]
-    df = spark.createDataFrame(data, "n int, s string").repartition(3)
-    order = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
-    joined = "".join(sha("|".join(str(v) for v in r if v is not None)) for r in order)
-    assert hashing.dataset_hash_value(df, ["n", "s"]) == sha(joined)
-    assert hashing.dataset_hash_value(df.filter("false"), ["n", "s"]) == sha("")
-
-
-def test_ordered_hash_refuses_large_tables(spark):
-    with pytest.raises(ValueError, match="fingerprint"):
-        hashing.ordered_dataset_hash(spark.range(11), ["id"], max_rows=10)
+def test_hash_value_is_the_fingerprint(spark):
+    df = spark.createDataFrame([(3, "c"), (1, None)], "n int, s string").repartition(3)
+    assert hashing.dataset_hash_value(df, ["n", "s"]) == hashing.dataset_fingerprint(df, ["n", "s"]).first().dataset_hash
 
 
 def test_fingerprint(spark):
