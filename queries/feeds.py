@@ -188,14 +188,8 @@ def gold_sql(bodies: dict[str, str]) -> str:
     green = ("lpep_pickup_datetime", "lpep_dropoff_datetime", "trip_distance", "total_amount")
     fhv = ("pickup_datetime", "dropoff_datetime", "NULL", "NULL")
     hvfhv = ("pickup_datetime", "dropoff_datetime", "trip_miles", "base_passenger_fare")
-    return " UNION ALL ".join(
-        [
-            gold_part("yellow", bodies["yellow"], yellow, "'yellow'"),
-            gold_part("green", bodies["green"], green, "'green'"),
-            gold_part("fhv", bodies["fhv"], fhv, "'fhv'"),
-            gold_part("hvfhv", bodies["hvfhv"], hvfhv, licence),
-        ]
-    )
+    feeds = {"yellow": (yellow, "'yellow'"), "green": (green, "'green'"), "fhv": (fhv, "'fhv'"), "hvfhv": (hvfhv, licence)}
+    return " UNION ALL ".join(gold_part(name, bodies[name], *given) for name, given in feeds.items() if name in bodies)
 
 
 def monthly_sql(trips: str, keys: list[str] = MONTHLY_KEYS) -> str:

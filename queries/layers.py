@@ -14,11 +14,12 @@ from stratalake.sources.storage import shared_dir
 from stratalake.streaming.upsert import silver_stream
 
 
-def _run(spark: SparkSession, sf_dir: str, names=tuple(FEEDS)) -> dict[str, DataFrame]:
+def _run(spark: SparkSession, sf_dir: str, names=tuple(FEEDS), bad: str | None = None) -> dict[str, DataFrame]:
     root = shared_dir(spark, "layers")
     landing = {name: f"{root}/landing/{name}" for name in names}
     for name, path in landing.items():
-        raw_feed(spark, sf_dir, name).write.parquet(path)
+        raw = raw_feed(spark, sf_dir, name)
+        (raw.select(raw.columns[0]) if name == bad else raw).write.parquet(path)
     feeds = {name: ntz_feed(name) for name in FEEDS}
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
     return run_layers(spark, landing, f"{root}/lake", feeds, as_of, timestamp="timestamp_ntz", scale=2)
@@ -29,6 +30,15 @@ def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir)["gold_monthly"]
 
 
+GOOD = [name for name in FEEDS if name != "green"]
+
+
+@query("layers_with_bad_feed", monthly_sql(gold_sql({name: SILVER_SQL[name] for name in GOOD})))
+def layers_with_bad_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The green feed's files lack its columns; all others reach gold."""
+    return _run(spark, sf_dir, bad="green")["gold_monthly"]
+
+
 @query("layers_silver_yellow", SILVER_SQL["yellow"])
 def layers_silver_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, ["yellow"])["silver_yellow"]

@@ -135,6 +135,44 @@ def partition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_partitions(spark, path, "day", events.schema)
 
 
+MOVED_DAY = "ts + CASE WHEN event_id % 3 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END"
+
+
+@query(
+    "partition_upsert_moved_keys",
+    f"""SELECT * REPLACE (value + 1 AS value), strftime({MOVED_DAY}, '%Y%m%d') AS day FROM events WHERE event_id % 2 = 0
+    UNION ALL SELECT *, strftime(ts, '%Y%m%d') AS day FROM events WHERE event_id % 2 <> 0 OR event_id IS NULL""",
+)
+def partition_upsert_moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the keys come again, a third of those in the partition of the next day: every key stays once."""
+    path = shared_dir(spark, "partition-moved")
+    events = table(spark, sf_dir, "events")
+    known = events.withColumn("day", F.date_format("ts", "yyyyMMdd"))
+    again = events.filter("event_id % 2 = 0").withColumn("value", F.col("value") + 1)
+    again = again.withColumn("day", F.date_format(F.expr(MOVED_DAY), "yyyyMMdd"))
+    upsert_partitions(known, path, "day", ["event_id"], source_unique=True)
+    upsert_partitions(again, path, "day", ["event_id"], source_unique=True)
+    return read_partitions(spark, path, "day", known.schema)
+
+
+@query(
+    "ingest_drift",
+    "SELECT event_id, value FROM events",
+)
+def ingest_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose types alternate, in loads of three, and files that a pattern leaves out."""
+    root = shared_dir(spark, "drift")
+    landing, bronze, ledger = f"{root}/landing", f"{root}/bronze", f"{root}/ledger"
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    for part in range(4):
+        share = events.filter(F.coalesce(F.pmod("event_id", F.lit(4)), F.lit(0)) == part)
+        share = share.withColumn("event_id", F.col("event_id").cast("string")) if part % 2 else share
+        share.write.parquet(f"{landing}/{part}")
+    events.write.parquet(f"{landing}/rejected")
+    ingest_files(spark, landing, bronze, ledger, events.schema, exclude=["/rejected/"], max_files=3)
+    return read_bronze(spark, bronze, ledger, events.schema)
+
+
 @query("sql_access", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 def sql_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A published table queried as a view."""

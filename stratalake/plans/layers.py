@@ -40,15 +40,20 @@ def run_layers(
     is new in the one before: silver the new loads, gold the months that
     silver rewrote. A layer notes its progress after its write, and taking in
     the same input twice changes nothing, so a run that was interrupted is
-    completed by the next one. Returns the layers, also registered as SQL
-    views of the same names.
+    completed by the next one. A feed that fails stops no other: what it has in
+    silver stays, its progress is not noted, and ``errors`` has its name and
+    message. Returns the layers and ``errors``, also registered as SQL views of
+    the same names.
     """
     paths = {
         name: {layer: f"{lake}/{layer}/{name}" for layer in ("bronze", "ledger", "silver", "silver_done", "gold_done")}
         for name in landing
     }
     months: set[str] = set()
-    for name, directory in landing.items():
+    errors: dict[str, str] = {}
+
+    def to_silver_layer(name: str, directory: str) -> set[str]:
+        """The months that silver rewrote and gold has not taken in."""
         feed, p = feeds[name], paths[name]
         ingest_files(spark, directory, p["bronze"], p["ledger"], feed.schema)
         done, newest = _newest(spark, p["silver_done"]), _newest(spark, p["ledger"])
@@ -56,15 +61,22 @@ def run_layers(
             publish_silver(read_bronze(spark, p["bronze"], p["ledger"], feed.schema, after=done), feed, p["silver"], as_of)
             _mark(spark, p["silver_done"], newest)
         done = _newest(spark, p["gold_done"])
-        for version in versions(spark, p["silver"]):
-            if version > done:
-                months.update(partition_values(spark, p["silver"], YEAR_MONTH, version))
+        new = [version for version in versions(spark, p["silver"]) if version > done]
+        return {month for version in new for month in partition_values(spark, p["silver"], YEAR_MONTH, version)}
+
+    for name, directory in landing.items():
+        try:
+            months |= to_silver_layer(name, directory)
+        except Exception as error:  # whatever is wrong with a feed, the others go on
+            errors[name] = f"{type(error).__name__}: {error}"
     trips_path, monthly_path = f"{lake}/gold/trips", f"{lake}/gold/monthly"
     if months:
         touched = sorted(months)
         silver = {name: read_silver(spark, feeds[name], paths[name]["silver"], touched) for name in landing}
         publish_gold(spark, to_gold(silver), trips_path, monthly_path, touched, scale)
         for name in landing:
+            if name in errors:
+                continue
             newest = _newest(spark, paths[name]["silver"])
             if optimize:
                 newest = optimize_silver(spark, feeds[name], paths[name]["silver"], touched)
@@ -75,5 +87,6 @@ def run_layers(
     tables["gold_monthly"] = read_gold_monthly(spark, monthly_path, timestamp)
     if "silver_yellow" in tables:
         tables["report"] = report(tables["gold_monthly"], tables["silver_yellow"], scale=scale)
+    tables["errors"] = spark.createDataFrame(list(errors.items()), "feed string, error string")
     register_views(spark, tables)
     return tables

@@ -46,7 +46,7 @@ def publish_silver(bronze: DataFrame, feed: Feed, path: str, as_of: object | Non
     """
     silver = to_silver(bronze, feed, as_of)
     months = with_year_month(cleaned(bronze, feed), feed.pickup)
-    return upsert_partitions(silver, path, YEAR_MONTH, feed.keys, source_unique=True, touched_by=months)
+    return upsert_partitions(silver, path, YEAR_MONTH, feed.keys, source_unique=True, touched_by=months, derived_from=feed.pickup)
 
 
 def read_silver(spark: SparkSession, feed: Feed, path: str, months: Sequence[str] | None = None) -> DataFrame:

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from stratalake.functions.names import lookup
 from stratalake.operators.conform import union_all
 from stratalake.operators.schema import enforce_schema
 from stratalake.sources.tables import LEVEL, publish, version_dir, versions
 
 # The columns of Spark's own file listing source; ``content`` is never read here.
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+FOOTER_THREADS = 8
 
 
 def read_parquet(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:
@@ -40,31 +44,33 @@ def list_files(spark: SparkSession, landing: str, exclude: Sequence[str] = (), g
     return wanted(listing, exclude)
 
 
-def _readable_groups(spark: SparkSession, paths: Sequence[str]) -> Iterator[DataFrame]:
-    """Runs of files that one schema can read.
-
-    The footers of a run are merged by one Spark job; only where types clash is
-    the run halved, so files that agree are never opened one by one.
-    """
-    try:
-        yield spark.read.option("mergeSchema", True).parquet(*paths)
-    except Exception as error:
-        if "CANNOT_MERGE" not in str(error) or len(paths) == 1:
-            raise
-        middle = len(paths) // 2
-        yield from _readable_groups(spark, paths[:middle])
-        yield from _readable_groups(spark, paths[middle:])
+def _by_schema(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """The files by the schema in their own footer, each read once on a few driver threads."""
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        for path, schema in zip(paths, pool.map(lambda p: spark.read.parquet(p).schema, paths)):
+            groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    return list(groups.values())
 
 
 def load_files(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType | None, on_missing: str = "error"
 ) -> DataFrame:
     """The files as one DataFrame of the declared schema, whatever numeric
-    types the single files carry."""
-    groups = list(_readable_groups(spark, sorted(paths)))
+    types the single files carry: one scan for each schema found.
+
+    What a file gives does not depend on the files it is loaded with; a file
+    that lacks a declared column is named in the error, or gives nulls with
+    ``on_missing="null"``.
+    """
+    groups = _by_schema(spark, sorted(paths))
     if schema is None:
-        return union_all(*groups)
-    return union_all(*[enforce_schema(g, schema, on_missing) for g in groups])
+        return union_all(*[read_parquet(spark, files, found) for found, files in groups])
+    if on_missing == "error":
+        for found, files in groups:
+            if absent := [c for c in schema.names if lookup(found.names, c) is None]:
+                raise AnalysisException(f"{files[0]} lacks the declared columns {absent}")
+    return union_all(*[enforce_schema(read_parquet(spark, files, found), schema, on_missing) for found, files in groups])
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:

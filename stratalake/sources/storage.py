@@ -23,6 +23,15 @@ def matching(spark: SparkSession, base: str, pattern: str) -> list[list[str]]:
     return sorted(str(status.getPath().toString()).split("/")[-depth:] for status in found)
 
 
+def fresh_dirs(spark: SparkSession, base: str, names: list[str]) -> None:
+    """``base`` with these empty directories and nothing else."""
+    target = hadoop_path(spark, base)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(target, True)
+    for name in names:
+        fs.mkdirs(hadoop_path(spark, f"{base}/{name}"))
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new directory below the shared folder of the session.
 

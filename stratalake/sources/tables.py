@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from stratalake.functions.names import column, require_columns
 from stratalake.operators.dedup import keep_one
-from stratalake.operators.upsert import upsert
-from stratalake.sources.storage import matching
+from stratalake.operators.upsert import same_keys, upsert
+from stratalake.sources.storage import fresh_dirs, matching
 
 # The directory level of the versions; no table may have a column of this name.
 LEVEL = "table_version"
@@ -54,11 +54,13 @@ def publish(
     partition_by: Sequence[str] = (),
     max_records_per_file: int = 0,
     version: int | None = None,
+    rewritten: Sequence[str] = (),
 ) -> int:
     """Write ``df`` as the new content of the table; returns the version.
 
     A ``version`` given by the caller makes the write idempotent: if it is
-    complete already, nothing is written.
+    complete already, nothing is written. The partition directories named in
+    ``rewritten`` belong to the version even if ``df`` has no row for them.
     """
     spark = df.sparkSession
     if LEVEL in (c.lower() for c in df.columns):
@@ -66,7 +68,9 @@ def publish(
     number = _next(spark, path) if version is None else version
     if version is not None and version in versions(spark, path):
         return number
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    if rewritten:
+        fresh_dirs(spark, version_dir(path, number), list(rewritten))
+    writer = df.write.mode("append" if rewritten else "overwrite").option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(version_dir(path, number))
@@ -106,10 +110,15 @@ def partition_values(spark: SparkSession, path: str, partition: str, version: in
 
 
 def publish_partitions(
-    df: DataFrame, path: str, partition: str, max_records_per_file: int = 0, version: int | None = None
+    df: DataFrame,
+    path: str,
+    partition: str,
+    max_records_per_file: int = 0,
+    version: int | None = None,
+    rewritten: Sequence[str] = (),
 ) -> int:
-    """Write the partitions present in ``df``; all others keep their content."""
-    return publish(df, path, [partition], max_records_per_file, version)
+    """Write the partitions present in ``df`` and those in ``rewritten``; all others keep their content."""
+    return publish(df, path, [partition], max_records_per_file, version, rewritten)
 
 
 def read_partitions(
@@ -136,26 +145,42 @@ def upsert_partitions(
     source_unique: bool = False,
     touched_by: DataFrame | None = None,
     max_records_per_file: int = 0,
+    derived_from: str | None = None,
 ) -> int:
     """Upsert into a partitioned table, rewriting only the touched partitions.
 
-    Exact when a key cannot move between partitions, as with a month derived
-    from a key column. Only the names of the touched partitions come to the
-    driver; they are taken from ``touched_by`` if given, a cheaper DataFrame
-    with the same partition values as ``source``.
+    A key stays in its partition when the partition column is a key, or is
+    derived from the key ``derived_from``. Otherwise the partitions where the
+    table has keys of the source are looked up (a scan of the key columns) and
+    rewritten too, so a key that moves leaves its old partition. Only the names
+    of the touched partitions come to the driver; they are taken from
+    ``touched_by`` if given, a cheaper DataFrame with the same partition values
+    as ``source``.
     """
     spark = source.sparkSession
     (partition,) = require_columns(source, [partition])
+    keys = require_columns(source, keys)
+    fixed = partition if derived_from is None else require_columns(source, [derived_from])[0]
+    if derived_from is not None and fixed not in keys:
+        raise AnalysisException(f"The partition can only be derived from one of the keys {list(keys)}, not {fixed!r}")
+    rewritten: list[str] = []
     if not table_exists(spark, path):
         merged = source if source_unique else keep_one(source, keys, list(order_by))
     else:
         origin = source if touched_by is None else touched_by
-        touched = [row[0] for row in origin.select(column(partition)).distinct().collect()]
+        touched = {row[0] for row in origin.select(column(partition)).distinct().collect()}
+        if fixed not in keys:
+            known = read_partitions(spark, path, partition, source.schema).alias("t")
+            found = known.join(source.select(*map(column, keys)).alias("s"), same_keys("t", "s", keys), "left_semi")
+            touched |= {row[0] for row in found.select(column(partition)).distinct().collect()}
+            wanted = {None if value is None else str(value) for value in touched}
+            dirs = _partition_dirs(spark, path, partition)
+            rewritten = [d.rsplit("/", 1)[1] for value, d in dirs.items() if value in wanted]
         target = read_partitions(spark, path, partition, source.schema, touched)
         merged = upsert(target, source, keys, order_by, source_unique)
     # Rebalancing evens out file sizes and splits a partition that is too big for one task.
     balanced = merged.hint("rebalance", column(partition))
-    return publish_partitions(balanced, path, partition, max_records_per_file)
+    return publish_partitions(balanced, path, partition, max_records_per_file, rewritten=rewritten)
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame | str]) -> None:

@@ -57,6 +57,24 @@ def test_partition_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert tables.read_partitions(spark, path, "m", first.schema, ["x"]).count() == 0
 
 
+def test_keys_that_move_leave_their_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    ddl = "k int, v string, m string"
+    first = spark.createDataFrame([(1, "a", "202401"), (2, "b", "202402"), (3, "c", "a/b %"), (None, "d", None), (5, "e", "202405")], ddl)
+    tables.upsert_partitions(first, path, "m", ["k"])
+    spark.range(9).write.parquet(f"{tables.version_dir(path, 2)}/m=202405")  # left by a write that was lost
+    second = spark.createDataFrame([(1, "A", "202402"), (3, "C", "202403"), (None, "D", "202403")], ddl)
+    tables.upsert_partitions(second, path, "m", ["k"])
+    want = [(1, "A", "202402"), (2, "b", "202402"), (3, "C", "202403"), (None, "D", "202403"), (5, "e", "202405")]
+    assert rows(tables.read_partitions(spark, path, "m", first.schema)) == sorted(want, key=repr)
+    assert set(tables.partition_values(spark, path, "m", 2)) == {"202401", "202402", "202403", "a/b %", None}
+    back = spark.createDataFrame([(1, "x", "202401")], ddl)
+    tables.upsert_partitions(back, path, "m", ["k"])
+    assert rows(tables.read_partitions(spark, path, "m", first.schema).filter("k = 1")) == [(1, "x", "202401")]
+    with pytest.raises(AnalysisException):
+        tables.upsert_partitions(back, path, "m", ["k"], derived_from="v")
+
+
 def test_views(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.publish(spark.range(4), path)
@@ -171,6 +189,23 @@ def test_load_files_with_drifting_types(spark, tmp_path):
     assert files.list_files(spark, landing, exclude=["month=0"]).count() == 4
 
 
+def test_loads_do_not_depend_on_grouping(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = T.StructType.fromDDL("a bigint, s string")
+    for i in range(16):
+        drift = spark.createDataFrame([(str(i) if i % 2 else i, f"f{i}")], f"a {'string' if i % 2 else 'int'}, s string")
+        drift.coalesce(1).write.parquet(str(tmp_path / f"alternating/{i:02}"))
+    listed = [r.path for r in files.list_files(spark, str(tmp_path / "alternating")).collect()]
+    assert len(files._by_schema(spark, listed)) == 2
+    assert rows(files.load_files(spark, listed, schema)) == sorted([(i, f"f{i}") for i in range(16)], key=repr)
+    spark.createDataFrame([(99,)], "a int").coalesce(1).write.parquet(str(tmp_path / "alternating/99"))
+    for size in (1, 3, 1000):
+        to = [str(tmp_path / f"{name}{size}") for name in ("bronze", "ledger")]
+        with pytest.raises(AnalysisException, match=r"alternating/99.*lacks the declared columns \['s'\]"):
+            files.ingest_files(spark, str(tmp_path / "alternating"), *to, schema, max_files=size)
+
+
 def test_batch_ingest(spark, tmp_path):
     from pyspark.sql import types as T
 
