@@ -314,13 +314,12 @@ class Grouping:
     def clear(self) -> None:
         self.waiting = 0
         self.pairs: list[tuple] = []  # nodes and sizes of both sides
-        self.members: list[tuple] = []  # first node of the group, node, size
+        self.members: list[tuple] = []  # first node of the group, node, sizes of both
 
     def star(self, head: tuple, rows: list[np.ndarray]) -> None:
         n = len(rows[0])
-        self.pairs.append((np.full(n, head[1]), rows[1], np.full(n, head[2]), rows[2]))
-        self.members.append((np.full(n, head[1]), rows[1], rows[2]))
-        self.waiting += 2 * n
+        self.members.append((np.full(n, head[1]), rows[1], np.full(n, head[2]), rows[2]))
+        self.waiting += n
 
     def add(self, batch: list[np.ndarray], goes_on: bool) -> None:
         rows = [np.concatenate(x) for x in zip(self.open, batch)]
@@ -353,7 +352,7 @@ class Grouping:
     def taken(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Distinct pairs of close sizes, the smaller node first, and distinct members of large groups, since the last call."""
         a, b, size_a, size_b = (np.concatenate(x) for x in zip(*self.pairs)) if self.pairs else [np.zeros(0, np.int64)] * 4
-        members = [np.concatenate(x) for x in zip(*self.members)] if self.members else [np.zeros(0, np.int64)] * 3
+        members = [np.concatenate(x) for x in zip(*self.members)] if self.members else [np.zeros(0, np.int64)] * 4
         self.clear()
         near = close_sizes(size_a, size_b, self.percent) & (a != b)
         pairs = [np.where(a < b, a, b), np.where(a < b, b, a), np.where(a < b, size_a, size_b), np.where(a < b, size_b, size_a)]
@@ -370,20 +369,17 @@ class Grouping:
 
 
 def grouped(symbols: DataFrame, percent: int) -> DataFrame:
-    """Rows of two kinds: candidate pairs ``a, b, size_a, size_b`` (``head`` null), and members ``head, a, size_a`` of
-    groups larger than GROUP with that first node (``b`` null)."""
-    names = ["head", "a", "b", "size_a", "size_b"]
+    """Rows of two kinds: candidate pairs ``a, b, size_a, size_b`` (``large`` false), and pairs of the first node ``a`` of a
+    group larger than GROUP and each of its members ``b``, itself too (``large`` true)."""
+    names = ["large", "a", "b", "size_a", "size_b"]
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = Grouping(percent)
 
         def out() -> Iterator[pa.RecordBatch]:
-            (a, b, size_a, size_b), (head, member, size) = groups.taken()
-            none, nobody = pa.nulls(len(a), pa.int64()), pa.nulls(len(head), pa.int64())
-            if len(a):
-                yield pa.RecordBatch.from_arrays([none, pa.array(a), pa.array(b), pa.array(size_a), pa.array(size_b)], names)
-            if len(head):
-                yield pa.RecordBatch.from_arrays([pa.array(head), pa.array(member), nobody, pa.array(size), nobody], names)
+            for large, columns in zip((False, True), groups.taken()):
+                if len(columns[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), large)), *map(pa.array, columns)], names)
 
         for batch in batches:
             groups.add([batch.column(i).to_numpy() for i in range(3)], True)
@@ -393,7 +389,7 @@ def grouped(symbols: DataFrame, percent: int) -> DataFrame:
         yield from out()
 
     rows = symbols.select("symbol", "node", "size").repartition("symbol").sortWithinPartitions("symbol", "node")
-    return rows.mapInArrow(group, "head long, a long, b long, size_a long, size_b long")
+    return rows.mapInArrow(group, "large boolean, a long, b long, size_a long, size_b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -471,12 +467,14 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = rows.filter("kind = 2").groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("hashes").alias("hashes"))
     sets = written(sets, "sets")
     found = written(grouped(rows.filter("kind = 1"), percent), "groups")
-    pairs = found.filter("head is null").select("a", "b", "size_a", "size_b").distinct()
+    close = f"a <> b and 100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)"
+    pairs = found.filter(close).select("a", "b", "size_a", "size_b").distinct()
     # sets with the same id belong together
     same = members.filter("id is not null and node is not null").groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("a", "b")
     links = written(verified(pairs, sets, percent).unionByName(same), "links")
     roots = connected(links)
-    large = written(found.filter("head is not null").select("head", "a", "size_a").distinct(), "large")
+    large = found.filter("large").select(F.col("a").alias("head"), F.col("b").alias("a"), F.col("size_b").alias("size_a"))
+    large = written(large.distinct(), "large")
     # first the nearest of each, which joins most of what belongs together, then all that is left
     for nearest in (NEAREST, None):
         own = large.join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
