@@ -154,3 +154,17 @@ def test_layers_are_incremental(spark, tmp_path, optimize):
     assert ("202305", "yellow", "yellow", 1, 11.0) in monthly(out) and len(monthly(out)) == 3
     assert tables.partition_values(spark, f"{lake}/gold/trips", "ano_mes", gold[-1] + 1) == ["202305"]
     assert spark.sql("select count(*) n from gold_trips").first().n == 3
+
+
+def test_a_bad_feed_stops_no_other(spark, tmp_path):
+    landing, lake = {n: str(tmp_path / "landing" / n) for n in ("green", "fhv")}, str(tmp_path / "lake")
+    fhv = {"dispatching_base_num": "B1", "pickup_datetime": datetime(2023, 5, 1, 8)}
+    columns = [F.lit(fhv.get(f.name)).cast(f.dataType).alias(f.name) for f in FEEDS["fhv"].schema.fields]
+    spark.range(1).select(*columns).write.parquet(landing["fhv"])
+    spark.createDataFrame([(1,)], "VendorID int").coalesce(1).write.parquet(landing["green"])
+    for _ in range(2):
+        out = run_layers(spark, landing, lake)
+        assert [r.service_type for r in out["gold_monthly"].collect()] == ["fhv"]
+        ((feed, error),) = rows(out["errors"])
+        assert feed == "green" and "lacks the declared columns" in error
+        assert not tables.table_exists(spark, f"{lake}/silver_done/green") and not tables.table_exists(spark, f"{lake}/gold_done/green")
