@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.functions.bits import as_number, interleaved
@@ -107,12 +108,29 @@ def analyze_table(spark: SparkSession, table: str, columns: bool = True) -> None
 def optimize_for_reads(
     df: DataFrame, path: str, cols: Sequence[str], table: str | None = None, files: int | None = None
 ) -> int:
-    """Publish clustered and, if ``table`` names a catalog table, (re)point it
-    at the new files and compute its statistics."""
+    """Publish clustered and, if ``table`` names a catalog table, point it at
+    the new files and compute its statistics.
+
+    The table is created if absent. One that exists is never dropped; it must
+    be external and have the columns of ``df``, and is refused otherwise before
+    anything is written.
+    """
+    spark = df.sparkSession
+    known = table is not None and spark.catalog.tableExists(table)
+    if known:
+        kind = spark.catalog.getTable(table).tableType
+        if kind != "EXTERNAL":
+            raise AnalysisException(f"{table} is no external table but {kind}")
+        if spark.table(table).schema.simpleString() != df.schema.simpleString():
+            raise AnalysisException(f"{table} has other columns than the rows to publish")
     version = cluster_write(df, path, cols, files)
     if table is not None:
-        spark = df.sparkSession
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{version_dir(path, version)}'")
+        place = version_dir(path, version)
+        if known:
+            literal = place.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{literal}'")
+            spark.catalog.refreshTable(table)
+        else:
+            spark.catalog.createTable(table, place, "parquet")
         analyze_table(spark, table)
     return version

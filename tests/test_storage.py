@@ -167,9 +167,27 @@ def test_optimize_and_analyze(spark, tmp_path):
     layout.optimize_for_reads(spark.range(100), path, ["id"], table="optimized_numbers")
     stats = {r.col_name: r.data_type for r in spark.sql("describe extended optimized_numbers").collect()}
     assert "100 rows" in stats["Statistics"]
+    # Published again, the table shows the new rows; other columns are refused.
+    layout.optimize_for_reads(spark.range(7), path, ["id"], table="optimized_numbers")
+    assert spark.table("optimized_numbers").count() == 7
+    with pytest.raises(AnalysisException):
+        layout.optimize_for_reads(spark.range(3).withColumnRenamed("id", "n"), path, ["n"], table="optimized_numbers")
+    assert spark.table("optimized_numbers").count() == 7
     spark.sql("drop table optimized_numbers")
 
 
+def test_a_managed_table_keeps_its_rows(spark, tmp_path):
+    spark.range(5).write.saveAsTable("managed_numbers")
+    with pytest.raises(AnalysisException):
+        layout.optimize_for_reads(spark.range(9), str(tmp_path / "it's"), ["id"], table="managed_numbers")
+    assert spark.table("managed_numbers").count() == 5 and not tables.table_exists(spark, str(tmp_path / "it's"))
+    for n in (4, 6):
+        layout.optimize_for_reads(spark.range(n), str(tmp_path / "it's"), ["id"], table="quoted_numbers")
+        assert spark.table("quoted_numbers").count() == n
+    for name in ("managed_numbers", "quoted_numbers"):
+        spark.sql(f"drop table {name}")
+
+
 def drifting(spark, landing):
     """Files with the same column as int, bigint, double and string."""
     for i, kind in enumerate(["int", "bigint", "double", "string", "bigint"]):
