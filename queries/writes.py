@@ -114,11 +114,12 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "stream-upsert")
     landing, silver, checkpoint = f"{root}/landing", f"{root}/silver", f"{root}/checkpoint"
     events = table(spark, sf_dir, "events")
+    by_day = lambda df: df.withColumn("day", F.date_format("ts", "yyyyMMdd"))
     for delivery in (events, second_delivery(spark, sf_dir)):
         delivery.write.mode("append").parquet(landing)
         stream = spark.readStream.schema(events.schema).parquet(landing)
-        upsert_stream(stream, silver, ["event_id"], checkpoint, order_by=["ts"]).awaitTermination()
-    return read_table(spark, silver)
+        upsert_stream(stream, silver, ["event_id"], checkpoint, "day", order_by=["ts"], prepare=by_day).awaitTermination()
+    return read_partitions(spark, silver, "day", by_day(events).schema).drop("day")
 
 
 @query(

@@ -7,11 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from stratalake.operators.dedup import keep_one
-from stratalake.operators.upsert import upsert
 from stratalake.plans.silver import publish_silver
 from stratalake.sources.feeds import Feed
-from stratalake.sources.tables import publish, read_table, table_exists, upsert_partitions
+from stratalake.sources.tables import upsert_partitions
 
 
 def upsert_stream(
@@ -19,28 +17,23 @@ def upsert_stream(
     path: str,
     keys: Sequence[str],
     checkpoint: str,
+    partition: str,
     order_by: Sequence[str] = (),
-    partition: str | None = None,
+    derived_from: str | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Upsert all available input into a published table, then stop.
+    """Upsert all available input into a table published by ``partition``, then stop.
 
     ``prepare`` turns a micro-batch into rows of the table. A batch replayed
     after a failure replaces its own rows by themselves, so at-least-once
-    delivery still gives exactly one row per key. With ``partition`` only the
-    touched partitions are rewritten.
+    delivery still gives exactly one row per key. Only the touched partitions
+    are rewritten, never the whole table; ``derived_from`` as in
+    ``upsert_partitions``.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
-        if partition is not None:
-            upsert_partitions(rows, path, partition, keys, order_by)
-            return
-        spark = rows.sparkSession
-        if table_exists(spark, path):
-            publish(upsert(read_table(spark, path), rows, keys, order_by), path)
-        else:
-            publish(keep_one(rows, keys, list(order_by)), path)
+        upsert_partitions(rows, path, partition, keys, order_by, derived_from=derived_from)
 
     return _each_batch(stream, merge, checkpoint)
 
