@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from queries.registry import query, table
 from stratalake.fixed import YEAR_MONTH
 from stratalake.operators.dates import with_year_month
-from stratalake.sources.files import ingest_files, read_bronze
-from stratalake.sources.layout import cluster_write, partitioned_write, with_zorder_key
+from stratalake.sources.files import append_parquet, ingest_files, read_bronze, read_parquet
+from stratalake.sources.layout import cluster_write, optimize_for_reads, partitioned_write, with_zorder_key
 from stratalake.sources.storage import shared_dir
 from stratalake.sources.tables import publish, read_partitions, read_table, register_views, upsert_partitions
 from stratalake.streaming.ingest import append_stream, ingest_stream, read_stream_bronze
@@ -136,6 +138,36 @@ def partition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_partitions(spark, path, "day", events.schema)
 
 
+STATED = ["o_orderkey", "o_custkey", "o_totalprice"]
+
+
+@query(
+    "analyzed_table",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS least, CAST(max({c}) AS DOUBLE) AS greatest,
+            count(*) - count({c}) AS nulls FROM orders"""
+        for c in STATED
+    ),
+)
+def analyzed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column statistics of a clustered table, as the catalog has them."""
+    name = f"stratalake_analyzed_{uuid.uuid4().hex}"
+    optimize_for_reads(table(spark, sf_dir, "orders"), shared_dir(spark, "analyzed"), ["o_custkey"], table=name)
+    stats = [{r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {name} {c}").collect()} for c in STATED]
+    rows = [(c, float(s["min"]), float(s["max"]), int(s["num_nulls"])) for c, s in zip(STATED, stats)]
+    return spark.createDataFrame(rows, "column_name string, least double, greatest double, nulls bigint")
+
+
+@query("append_directory", f"SELECT * FROM events UNION ALL {MOVED}")
+def append_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two plain appends, read back as a whole directory."""
+    path = shared_dir(spark, "append")
+    events = table(spark, sf_dir, "events")
+    for delivery in (events, moved_events(spark, sf_dir)):
+        append_parquet(delivery, path)
+    return read_parquet(spark, path, events.schema)
+
+
 MOVED_DAY = "ts + CASE WHEN event_id % 3 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END"
 
 
