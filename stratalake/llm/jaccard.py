@@ -234,7 +234,7 @@ def shared_filter(texts: DataFrame, n: int, percent: int) -> tuple[np.ndarray, i
     sent = texts.select("id", "text").mapInArrow(send, "bucket long, symbols binary")
     merged = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "bucket long, bits binary")
     whole = np.zeros((buckets, slice_bits // 8), np.uint8)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():  # FILTER_BITS in all, whatever the input; one job, not one per bucket
         whole[row[0]] = np.frombuffer(row[1], np.uint8)
     return whole, buckets
 
