@@ -1,16 +1,20 @@
-"""Removal of repeated passages by content-defined chunks.
+"""Removal of repeated passages by windows of content-defined chunks.
 
 A gear rolling hash is taken at every word start, over the WINDOW bytes before it; a chunk starts where that hash is the
 least within REACH words on both sides. The cuts depend on nearby bytes only, so an insertion moves a few chunks and
-leaves all others as they were. The digest of a chunk belongs to the smallest document id that holds it. In all other
-documents the chunk is a repeat, and runs of adjacent repeats of at least ``min_words`` words are cut out. A passage of
-50 words keeps its digests but for a part of a chunk at either end, which is why the bound on runs is lower.
+leaves all others as they were. A window is the shortest run of adjacent chunks with at least ``min_words`` words that
+starts, or that ends, at a given chunk; its digest is that of all its bytes. The digest belongs to the smallest document
+id that holds it. In all other documents the window is a repeat, and every chunk that lies in a repeat is cut out: what
+is cut always stands in one piece in a document with a smaller id, and chunks that only other texts share, each for
+itself, stay. Any run of chunks with ``min_words`` words is the union of the windows inside it, so runs that a smaller
+document holds are cut from end to end. A passage of 50 words keeps its chunks but for a part of one at either end, which
+is why the bound on runs is lower.
 
 A digest has one row per document that holds it; rows are combined before the shuffle, the smallest id is an aggregate,
-and the join back to the documents' chunks has one row per digest on one side, so adaptive execution can split a digest
+and the join back to the documents' windows has one row per digest on one side, so adaptive execution can split a digest
 that a third of all documents hold.
 
-Digests have 64 bits: a false repeat needs a run of chunks whose digests all collide with those of other chunks.
+Digests have 64 bits: a false repeat needs the digest of a window to collide with that of another text.
 
 Defined results: null texts stay null, empty ones empty; rows with a null id own nothing and stay as they are; rows that
 share an id count as one document and are all kept; repeats inside one document stay; white space around a removed
@@ -44,8 +48,8 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all chunks of a block of texts: bounds (one more than chunks), digests, number of words. Texts start chunks."""
+def bounded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of all chunks of a block of texts: bounds (one more than chunks), number of words. Texts start chunks."""
     words = word_starts(data, offsets)
     text = np.searchsorted(offsets, words, "right") - 1
     # a hash needs a whole window inside its text; all others are larger than any hash
@@ -60,22 +64,42 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         cut &= ~same_before | (value < before)
         cut &= ~same_after | (value <= after)
     bounds = np.union1d(words[cut], offsets)
-    held = np.diff(np.searchsorted(words, bounds))
+    return bounds, np.diff(np.searchsorted(words, bounds))
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all chunks of a block of texts: bounds (one more than chunks), digests, number of words."""
+    bounds, held = bounded(data, offsets)
     return bounds, PrefixHash(data).of(bounds[:-1], bounds[1:]), held
 
 
-def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``digest, doc``: one row for each distinct digest of each row."""
+def windows(data: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of a block of texts: text number, digest, first byte, end. No window leaves its text."""
+    bounds, held = bounded(data, offsets)
+    total = np.concatenate([[0], np.cumsum(held)])
+    at = np.arange(len(held))
+    text = np.searchsorted(offsets, bounds[:-1], "right") - 1
+    low, high = np.searchsorted(bounds, offsets[text]), np.searchsorted(bounds, offsets[text + 1])
+    # the shortest from each chunk on, and the shortest up to each chunk
+    end = np.maximum(np.searchsorted(total, total[:-1] + min_words, "left"), at + 1)
+    start = np.minimum(np.searchsorted(total, total[1:] - min_words, "right") - 1, at)
+    on, to = end <= high, start >= low
+    first, last = np.concatenate([at[on], start[to]]), np.concatenate([end[on], at[to] + 1])
+    first, last = bounds[first], bounds[last]
+    return np.concatenate([text[on], text[to]]), PrefixHash(data).of(first, last), first, last
+
+
+def digests(docs: DataFrame, id_col: str, text_col: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """``digest, doc``: one row for each distinct digest of a window of each row."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = strings(batch.column(1))
             for first, end in row_blocks(offsets, BLOCK):
                 own = offsets[first : end + 1] - offsets[first]
-                bounds, digest, _ = chunks(data[offsets[first] : offsets[end]], own)
-                row = np.searchsorted(own, bounds[:-1], "right") - 1 + first
-                order = np.lexsort((digest, row))
-                digest, row = digest[order], row[order]
+                text, digest, _, _ = windows(data[offsets[first] : offsets[end]], own, min_words)
+                order = np.lexsort((digest, text))
+                digest, row = digest[order], text[order] + first
                 new = np.ones(len(row), bool)
                 new[1:] = (digest[1:] != digest[:-1]) | (row[1:] != row[:-1])
                 yield pa.RecordBatch.from_arrays([pa.array(digest[new].view(np.int64)), batch.column(0).take(pa.array(row[new]))], ["digest", "doc"])
@@ -84,22 +108,26 @@ def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return chosen.mapInArrow(cut, f"digest long, doc {chosen.schema['doc'].dataType.simpleString()}")
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc, digests``: of each document, the digests that a document with a smaller id holds."""
-    found = written(digests(docs, id_col, text_col), "chunks")
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc, digests``: of each document, the digests of windows that a document with a smaller id holds."""
+    found = written(digests(docs, id_col, text_col, min_words), "chunks")
     shared = found.groupBy("digest").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).filter("owner < last")
     again = found.join(shared.select("digest", "owner"), "digest").filter("doc > owner")
     return again.groupBy("doc").agg(F.collect_list("digest").alias("digests"))
 
 
 def passages(text: bytes, repeats: np.ndarray, min_words: int) -> list[tuple[int, int]]:
-    """The byte spans to remove from a text, given its repeated digests."""
+    """The byte spans to remove from a text, given the digests of its repeated windows: their union."""
     data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
-    bounds, digest, held = chunks(data, offsets)
-    again = np.isin(digest, repeats).astype(np.int8)
-    edges = np.flatnonzero(np.diff(again, prepend=0, append=0))
-    total = np.concatenate([[0], np.cumsum(held)])
-    return [(int(bounds[a]), int(bounds[b])) for a, b in zip(edges[::2], edges[1::2]) if total[b] - total[a] >= min_words]
+    _, digest, first, end = windows(data, offsets, min_words)
+    again = np.isin(digest, repeats)
+    spans: list[tuple[int, int]] = []
+    for a, b in sorted(zip(first[again].tolist(), end[again].tolist())):
+        if spans and a <= spans[-1][1]:
+            spans[-1] = spans[-1][0], max(b, spans[-1][1])
+        else:
+            spans.append((a, b))
+    return spans
 
 
 def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, spans_col: str | None = None) -> DataFrame:
@@ -109,7 +137,7 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     key, held = ("_" * n + name for name, n in (("doc", 1), ("digests", 1)))
     while key in taken or held in taken:
         key, held = "_" + key, "_" + held
-    found = repeated(docs, id_col, text_col).select(F.col("doc").alias(key), F.col("digests").alias(held))
+    found = repeated(docs, id_col, text_col, min_words).select(F.col("doc").alias(key), F.col("digests").alias(held))
     joined = docs.join(found, column(id_col) == F.col(key), "left")
     result = T.StructType([T.StructField("text", T.StringType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
 

@@ -267,6 +267,41 @@ def test_substrings(spark, docs, none):
     assert substrings.drop_repeated_passages(docs).count() == docs.count()
 
 
+def test_substrings_need_one_document(spark):
+    """Repeats that many documents hold, each a part, are no passage: neither single chunks nor pairs of neighbours."""
+    array = lambda t: (np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+    clean = prose(300)
+    bounds = substrings.chunks(*array(clean))[0].tolist()
+    text, given = prose(150), []
+    for at in range(len(bounds) - 4):  # some words around, so that the three chunks in the middle are cut alike
+        given.append(prose(40) + " " + clean[bounds[at] : bounds[at + 4]] + prose(40))
+    rows = [*enumerate(given), (1000, clean), (1001, text), (1002, prose(20) + " " + text + " " + prose(20))]
+    held = {d for t in given for d in substrings.chunks(*array(t))[1].tolist()}
+    assert sum(d in held for d in substrings.chunks(*array(clean))[1].tolist()) > 0.9 * (len(bounds) - 1)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in substrings.drop_repeated_passages(df).collect()}
+    assert {i: t for i, t in got.items() if i < 1002} == {i: t for i, t in rows if i < 1002}
+    assert len(got[1002]) < 0.4 * len(text)
+
+
+def test_windows_cover_runs():
+    """The windows inside any run of chunks with enough words cover all of it, and none crosses texts."""
+    texts = [prose(120), "", " \n", prose(29), prose(31), "Is " * 100, "\n" + prose(70)]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    text, digest, first, end = substrings.windows(data, offsets, 30)
+    assert all(offsets[t] <= a < b <= offsets[t + 1] and len(data[a:b].tobytes().split()) >= 30 for t, a, b in zip(text, first, end))
+    assert set(text.tolist()) == {0, 4, 5, 6}
+    bounds, _, held = substrings.chunks(data, offsets)
+    for t in (0, 4, 5, 6):
+        low, high = np.searchsorted(bounds, offsets[t : t + 2])
+        for i in range(low, high):
+            for j in range(i + 1, high + 1):
+                if held[i:j].sum() >= 30:
+                    inside = {b for a, e in zip(first, end) if bounds[i] <= a and e <= bounds[j] for b in range(a, e)}
+                    assert len(inside) == bounds[j] - bounds[i]
+
+
 def test_chunks_resist_shifts():
     text = prose(2000)
     array = lambda t: (np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
