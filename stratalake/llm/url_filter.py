@@ -3,13 +3,17 @@
 URLs that a rule decides are the examples: allowed ones train the accepting model, blocked ones the rejecting one. Both
 are variable-order Markov models over SYMBOLS character classes: the probability of a character is the Witten-Bell blend
 of its counts after contexts of 0 to ORDER - 1 characters, each order backing off to the shorter one as far as the longer
-context is rare. Contexts of up to two characters have a cell each; longer ones are hashed into CONTEXTS rows per order,
-so a model has a fixed size whatever the number of URLs. Counts come from all example URLs, each task counting in
-arrays of that size before the shuffle.
+context is rare. Counts come from all example URLs, one for each model, context and next character, so the models grow
+with the contexts there are: they are a table in the shared folder, made by an aggregate that tasks combine before the
+shuffle, and neither the driver nor a task holds them.
 
-The score is the difference of log-likelihoods per character. One example in HELD (by the hash of the URL, so copies go
-together) is kept from the counts; a logistic fit on the histogram of their scores turns the score into a probability,
-and URLs at CALIBRATED or more are allowed.
+The score is the difference of log-likelihoods per character. A gram is a character with the ORDER - 1 before it. The
+distinct grams of all URLs to score are joined with the counts of their contexts, which gives the difference of each gram
+once; the grams of each distinct URL are joined with these, and summed as whole 2^-32, exact in any order. Both joins have
+one row per key on one side, so adaptive execution can split a gram that all URLs hold.
+
+One example in HELD (by the hash of the URL, so copies go together) is kept from the counts; a logistic fit on the
+histogram of their scores turns the score into a probability, and URLs at CALIBRATED or more are allowed.
 
 Defined results: a null URL or one without ``://`` has empty host and path, fits no rule and is scored as its whole text
 (null: empty, score 0); without examples of both kinds every URL that no rule decides is allowed; repeated rows are
@@ -25,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalake.functions.names import column
-from stratalake.llm.common import mixed, row_blocks, strings
+from stratalake.llm.common import mixed, row_blocks, strings, written
 
 ORDER, SYMBOLS, CONTEXTS = 5, 64, 1 << 13
 HELD, CALIBRATED = 5, 0.5
@@ -34,7 +38,9 @@ BINS, SPAN = 2000, 8.0
 BLOCK = 1_000_000
 #: Verdict and rule, host and path prefix.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: Rows of contexts of each order.
+#: Scores are summed in whole parts of this size.
+PARTS = 1 << 32
+#: Rows of contexts of each order in ``Models``.
 SIZES = [min(SYMBOLS**n, CONTEXTS) for n in range(ORDER)]
 STARTS = np.cumsum([0, *(SYMBOLS * n for n in SIZES)])
 
@@ -71,8 +77,9 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all characters of all texts and their ends: text number, and cell at each order (ORDER x characters)."""
+def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For all characters of all texts and their ends: text number and gram, the class of the character lowest, then those
+    before it, the nearest one first; starts count as class 0. And the characters of each text, with its end."""
     lengths = np.diff(offsets)
     text = np.repeat(np.arange(len(lengths)), lengths + 1)
     symbol = np.zeros(len(text), np.int64)
@@ -81,20 +88,29 @@ def cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     symbol[inside] = CLASS[data]
     first = np.repeat(np.cumsum(lengths + 1) - lengths - 1, lengths + 1)
     place = np.arange(len(text)) - first
+    gram = symbol.copy()
+    for step in range(1, ORDER):
+        before = np.zeros(len(text), np.int64)
+        before[step:] = symbol[: max(0, len(symbol) - step)]
+        before[place < step] = 0
+        gram += before * SYMBOLS**step
+    return text, gram, lengths + 1
+
+
+def cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For all characters of all texts and their ends: text number, and cell of ``Models`` at each order (ORDER x characters)."""
+    text, gram, lengths = grams(data, offsets)
     out = np.empty((ORDER, len(text)), np.int64)
-    context = np.zeros(len(text), np.int64)  # the classes before, the nearest one lowest; starts count as class 0
     for order in range(ORDER):
+        context = gram // SYMBOLS % SYMBOLS**order
         row = context if SYMBOLS**order <= CONTEXTS else (mixed(context.astype(np.uint64)) % np.uint64(CONTEXTS)).astype(np.int64)
-        out[order] = STARTS[order] + row * SYMBOLS + symbol
-        before = np.zeros(len(text), np.int64)
-        before[order + 1 :] = symbol[: len(symbol) - order - 1]
-        before[place <= order] = 0
-        context = context + before * SYMBOLS**order
-    return text, out, lengths + 1
+        out[order] = STARTS[order] + row * SYMBOLS + gram % SYMBOLS
+    return text, out, lengths
 
 
 class Models:
-    """Blended log-probabilities of both models."""
+    """Blended log-probabilities of both models in one array, for few URLs: longer contexts share CONTEXTS rows per order,
+    so ``judge_urls`` does not use it."""
 
     def __init__(self, counts: np.ndarray):
         self.counts = counts.astype(float)  # 2 x cells
@@ -118,10 +134,6 @@ class Models:
         return np.bincount(text, difference, len(lengths)) / lengths
 
 
-def binned(scores: np.ndarray) -> np.ndarray:
-    return np.clip(((scores + SPAN) * (BINS / (2 * SPAN))).astype(np.int64), 0, BINS - 1)
-
-
 def logistic(histogram: np.ndarray) -> tuple[float, float]:
     """Slope and shift of P(accepted | score), from a 2 x BINS histogram with equal weight for both kinds: Newton steps
     with a weak pull of the slope to 1."""
@@ -140,20 +152,59 @@ def logistic(histogram: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def tallied(rows: DataFrame, counts, cells_: int) -> np.ndarray:
-    """Sums of ``counts(kind array, url column) -> (cells, n)`` over all batches, as a 2 x ``cells_`` array of fixed size."""
+def counted(examples: DataFrame) -> DataFrame:
+    """``place, total_1, kinds_1, total_0, kinds_0, next``: what follows each context (its order and classes are the place)
+    in the examples ``kind, url, n`` of either kind; ``next`` maps a class to its two counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * cells_, np.int64)
         for batch in batches:
-            total += counts(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), batch.column(1))
-        own = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], ["cell", "n"])
+            kind, times = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 2))
+            data, offsets = strings(batch.column(1))
+            for first, end in row_blocks(offsets, BLOCK):
+                text, gram, _ = grams(data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first])
+                for order in range(ORDER):
+                    own, at = np.unique(gram % SYMBOLS ** (order + 1) * 2 + kind[first:end][text], return_inverse=True)
+                    n = np.zeros(len(own), np.int64)
+                    np.add.at(n, at, times[first:end][text])
+                    place = own // (2 * SYMBOLS) + order * SYMBOLS**ORDER
+                    yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(own // 2 % SYMBOLS), pa.array(own % 2), pa.array(n)], ["place", "symbol", "kind", "n"])
+
+    rows = examples.select("kind", "url", "n").mapInArrow(count, "place long, symbol long, kind long, n long")
+    cell = rows.groupBy("place", "symbol").agg(*(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n_{k}") for k in (1, 0)))
+    totals = [f(k) for k in (1, 0) for f in (lambda k: F.sum(f"n_{k}").alias(f"total_{k}"), lambda k: F.sum((F.col(f"n_{k}") > 0).cast("long")).alias(f"kinds_{k}"))]
+    return cell.groupBy("place").agg(*totals, F.map_from_entries(F.collect_list(F.struct("symbol", F.struct("n_1", "n_0")))).alias("next"))
+
+
+def ratios(needed: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``gram, parts``: the difference of the log-probabilities of each gram in both models, in whole 1 / PARTS."""
+    orders = F.explode(F.array(*(F.struct(F.lit(n).alias("order"), (F.floor(F.col("gram") / SYMBOLS) % SYMBOLS**n + n * SYMBOLS**ORDER).cast("long").alias("place")) for n in range(ORDER))))
+    rows = needed.select("gram", orders.alias("at")).select("gram", "at.*").join(contexts, "place")
+    own = F.try_element_at("next", F.col("gram") % SYMBOLS)
+    seen = [F.coalesce(own[f"n_{k}"], F.lit(0)).alias(f"n_{k}") for k in (1, 0)]
+    steps = rows.groupBy("gram").agg(F.array_sort(F.collect_list(F.struct("order", *(f"{c}_{k}" for c in ("total", "kinds") for k in (1, 0)), *seen))).alias("steps"))
+
+    def likely(k: int) -> Column:
+        blend = lambda p, s: F.when(s[f"total_{k}"] > 0, (s[f"n_{k}"] + s[f"kinds_{k}"] * p) / (s[f"total_{k}"] + s[f"kinds_{k}"])).otherwise(p)
+        return F.log(F.aggregate("steps", F.lit(1.0 / SYMBOLS), blend))
+
+    return steps.select("gram", F.round((likely(1) - likely(0)) * PARTS).cast("long").alias("parts"))
+
+
+def url_scores(urls: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``id, score`` of each of ``id, url``."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = strings(batch.column(1))
+            for first, end in row_blocks(offsets, BLOCK):
+                text, gram, _ = grams(data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first])
+                own, n = np.unique(text * SYMBOLS**ORDER + gram, return_counts=True)
+                rows = batch.column(0).take(pa.array(own // SYMBOLS**ORDER + first))
+                yield pa.RecordBatch.from_arrays([rows, pa.array(own % SYMBOLS**ORDER), pa.array(n.astype(np.int64))], ["id", "gram", "n"])
 
-    out = np.zeros(2 * cells_, np.int64)
-    summed = rows.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out[summed.column("cell").to_numpy()] = summed.column("n").to_numpy()
-    return out.reshape(2, cells_)
+    held = written(urls.select("id", "url").mapInArrow(split, "id long, gram long, n long"), "url-grams")
+    known = ratios(held.select("gram").distinct(), contexts)
+    return held.join(known, "gram").groupBy("id").agg((F.sum(F.col("n") * F.col("parts")) / PARTS / F.sum("n")).alias("score"))
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
@@ -163,37 +214,24 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     judged = pages.select(column(id_col).alias("page_id"), url.alias("url"), host.alias("host"), path.alias("path"))
     judged = judged.withColumns({"rule": rule, "said": verdict})
-    examples = judged.filter("said is not null").select((F.col("said") == "allow").cast("int").alias("kind"), "url", (F.pmod(F.xxhash64("url"), F.lit(HELD)) == 0).alias("held"))
-
-    def grams(kind: np.ndarray, urls: pa.Array) -> np.ndarray:
-        data, offsets = strings(urls)
-        total = np.zeros(2 * STARTS[-1], np.int64)
-        for first, end in row_blocks(offsets, BLOCK):
-            text, cell, _ = cells(data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first])
-            side = kind[first:end][text] * STARTS[-1]
-            for order in range(ORDER):
-                total += np.bincount(cell[order] + side, minlength=len(total))
-        return total
-
-    counts = tallied(examples.filter("not held").select("kind", "url"), grams, int(STARTS[-1]))
-    both = bool((counts.sum(1) > 0).all())
-    models = Models(counts)
-
-    def bins(kind: np.ndarray, urls: pa.Array) -> np.ndarray:
-        return np.bincount(binned(scores(urls)) + kind * BINS, minlength=2 * BINS)
-
-    def scores(urls: pa.Array) -> np.ndarray:
-        data, offsets = strings(urls)
-        blocks = [models.scores(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in row_blocks(offsets, BLOCK)]
-        return np.concatenate(blocks) if blocks else np.zeros(0)
-
-    slope, shift = logistic(tallied(examples.filter("held").select("kind", "url"), bins, BINS)) if both else (1.0, 0.0)
-
-    @F.arrow_udf("double")
-    def score(urls: pa.Array) -> pa.Array:
-        return pa.array(scores(urls)) if both else pa.array(np.zeros(len(urls)))
-
-    scored = judged.withColumn("score", F.when(F.length("url") == 0, F.lit(0.0)).otherwise(score("url")))
+    held = F.pmod(F.xxhash64("url"), F.lit(HELD)) == 0
+    urls = judged.groupBy("url", "said").agg(F.count("*").alias("n"))
+    urls = written(urls.select(F.monotonically_increasing_id().alias("id"), "url", "n", (F.col("said") == "allow").cast("long").alias("kind"), held.alias("held")), "urls")
+    contexts = written(counted(urls.filter("kind is not null and not held")), "url-contexts")
+    whole = contexts.filter("place = 0").select("total_1", "total_0").first()  # the empty context
+    both = whole is not None and min(whole) > 0
+    slope, shift = 1.0, 0.0
+    if both:
+        asked = urls.filter("(kind is null or held) and length(url) > 0")
+        known = written(asked.join(url_scores(asked, contexts), "id").select("url", "kind", "n", "score"), "url-scores")
+        place = F.least(F.greatest(F.floor((F.col("score") + SPAN) * (BINS / (2 * SPAN))), F.lit(0)), F.lit(BINS - 1)).alias("bin")
+        histogram = np.zeros((2, BINS), np.int64)
+        for kind, at, n in known.filter("kind is not null").groupBy("kind", place).agg(F.sum("n")).collect():
+            histogram[kind, at] = n
+        slope, shift = logistic(histogram)
+        scored = judged.join(known.filter("kind is null").select("url", "score"), "url", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    else:
+        scored = judged.withColumn("score", F.lit(0.0))
     chance = 1 / (1 + F.exp(-(F.col("score") * slope + shift))) if both else F.lit(1.0)
     scored = scored.withColumn("probability", chance)
     final = F.coalesce("said", F.when(F.col("probability") >= CALIBRATED, "allow").otherwise("block"))

@@ -445,6 +445,40 @@ def test_url_model():
         assert abs(total / (len(u) - url_filter.ORDER) - score) < 1e-6
 
 
+def test_url_counts_are_exact(spark):
+    """Scores of more contexts than ``Models`` has rows, against dictionaries of all of them; repeated rows count."""
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789-_"
+    word = lambda: "".join(RANDOM.choice(letters) for _ in range(24))
+    urls = [f"http://{word()}.{'net' if i % 9 == 0 else 'com'}/{'fr' if i % 2 else 'de'}/{word()}" for i in range(1500)]
+    urls += urls[:40] + ["http://É.net/~{"] * 2
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    held = {r.url for r in pages.filter(F.pmod(F.xxhash64("url"), F.lit(url_filter.HELD)) == 0).collect()}
+    got = {r.page_id: r for r in url_filter.judge_urls(pages).collect()}
+    series = lambda u: [0] * url_filter.ORDER + [int(url_filter.CLASS[b]) for b in u.encode()] + [0]
+    seen = [{}, {}]
+    for i, u in enumerate(urls):
+        if got[i].rule and u not in held:
+            u = series(u)
+            for at in range(url_filter.ORDER, len(u)):
+                for order in range(url_filter.ORDER):
+                    own = seen[got[i].verdict == "allow"].setdefault(tuple(u[at - order : at]), {})
+                    own[u[at]] = own.get(u[at], 0) + 1
+    assert min(sum(len(c) == 4 for c in own) for own in seen) > url_filter.CONTEXTS
+    free = [i for i in got if not got[i].rule]
+    assert len(got) == len(urls) and len(free) > 150 and all(got[i].score is None for i in got if got[i].rule)
+    for i in free:
+        u, total = series(urls[i]), 0.0
+        for at in range(url_filter.ORDER, len(u)):
+            for kind, sign in ((1, 1), (0, -1)):
+                p = 1 / url_filter.SYMBOLS
+                for order in range(url_filter.ORDER):
+                    own = seen[kind].get(tuple(u[at - order : at]))
+                    if own:
+                        p = (own.get(u[at], 0) + len(own) * p) / (sum(own.values()) + len(own))
+                total += sign * np.log(p)
+        assert abs(total / (len(u) - url_filter.ORDER) - got[i].score) < 1e-6
+
+
 def test_toxicity(spark, docs, none):
     bad = ["moronic", "trashing", "idiots", "losers"]
     rows = []
