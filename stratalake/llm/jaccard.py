@@ -172,7 +172,7 @@ def short(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def new_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, int, bool]]:
-    """Batch, row, last row of the block, set, node, and whether the task sees the node for the first time."""
+    """Batch, row, last row of the block, set, node, and whether the task sees the node for the first time with an id."""
     seen: set[int] = set()
     for batch in batches:
         data, offsets = strings(batch.column(1))
@@ -180,7 +180,7 @@ def new_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Rec
             block = shingle_sets(data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first], n)
             for row, own in enumerate(block, first):
                 key = node(own) if len(own) else 0
-                fresh = len(own) > 0 and key not in seen
+                fresh = len(own) > 0 and key not in seen and batch.column(0)[row].is_valid
                 if fresh:
                     if len(seen) >= SEEN:
                         seen.clear()

@@ -365,6 +365,14 @@ def test_jaccard(spark, docs, none, group):
     assert by_key(jaccard.components(docs)) == plain_components(own)
 
 
+def test_no_link_through_rows_without_id(spark):
+    base = prose(100).split()
+    a, b = " ".join(base[:88]) + " " + prose(12), prose(12) + " " + " ".join(base[12:])
+    rows = [(1, a), (2, b), (None, " ".join(base)), (3, prose(50))]
+    got = by_key(jaccard.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)))
+    assert got == plain_components(rows) and [r[2] for r in got] == [1, 2, 3, None]
+
+
 def test_symbols_lose_no_link():
     """Linked sets of any sizes share a symbol, and as many as the bound says."""
     random_, bands = np.random.default_rng(5), jaccard.Bands()
