@@ -17,9 +17,12 @@ def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates the document with the smallest id; documents without an id all stay."""
+    """Of near-duplicates the document with the smallest id; documents without an id all stay. Rows that share an id are one
+    document: each of its texts stays once, like or unlike, in the row with the least values of the other columns."""
     kept = jaccard.components(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    once = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    own = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
+    once = own.groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("least")).select("doc_id", "text", "least.*")
     return once.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
 
 

@@ -51,6 +51,14 @@ def test_stages(spark):
         assert stage(spark, empty, SF_DIR).count() == 0
 
 
+def test_texts_that_share_an_id(spark):
+    words = lambda n, w: " ".join(f"{w}{i}" for i in range(n))
+    rows = [(1, words(30, "a"), "en"), (1, words(30, "b"), "en"), (1, words(30, "b"), "de"), (1, "", "en"), (2, words(30, "c"), "en"), (3, words(30, "c"), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = corpus_pipeline.keep_one_of_each_group(spark, docs, SF_DIR)
+    assert sorted(map(tuple, got.collect())) == sorted([rows[0], rows[2], rows[3], rows[4]])
+
+
 def test_run(spark):
     got = corpus_pipeline.run(spark, SF_DIR)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and got.count() > 100
