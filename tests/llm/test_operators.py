@@ -512,6 +512,12 @@ def test_toxicity(spark, docs, none):
     assert all(r.predicted == 0 for r in toxicity.score_documents(docs, blank).collect())
 
 
+def test_toxicity_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "fit", lambda positive, unlabelled, prior: (len(positive), len(unlabelled)))
+    docs = spark.range(14_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    assert toxicity.learned(docs, docs.select("doc_id", F.lit(1).alias("toxic"))) == (3000, 6000)
+
+
 def test_risk_step_needs_no_negatives():
     random_ = np.random.default_rng(2)
     rows = lambda n, toxic: [toxicity.text_features(prose(30) + (" awful nasty" if toxic(i) else "")) for i in range(n)]
