@@ -190,8 +190,8 @@ def in_training(id_col: str = "doc_id") -> Column:
 
 def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """A model of the training fold: the positives are its texts with label 1, the unlabelled any of its texts, at most
-    ``positives`` and ``unlabelled`` rows with the smallest hashes of their ids; the prior is the share of label 1 among
-    its labels. The sample is what the driver gets."""
+    ``positives`` and ``unlabelled`` ids with the smallest hashes; the prior is the share of label 1 among its labels. Of
+    the texts that share an id, the one with the smallest hash is taken. The sample is what the driver gets."""
     fold = labels.filter(in_training(id_col)).select(column(id_col).alias("id"), column(label_col).cast("double").alias("label"))
     prior = fold.agg(F.avg("label")).first()[0] or 0.0
     order = [F.xxhash64("id"), "id"]
@@ -207,7 +207,8 @@ def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["place", "kind", "slots", "values"])
 
     texts = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id").select(F.xxhash64("id").alias("place"), "kind", "text")
+    one = texts.join(F.broadcast(chosen), "id").groupBy("id", "kind").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    sample = one.select(F.xxhash64("id").alias("place"), "kind", "least.text")
     table = sample.mapInArrow(features, "place long, kind int, slots binary, values binary").toArrow().sort_by([("place", "ascending"), ("slots", "ascending")])
     rows: dict[int, list[tuple]] = {0: [], 1: []}
     for kind, slots, values in zip(*(table.column(n).to_pylist() for n in ("kind", "slots", "values"))):

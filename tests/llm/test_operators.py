@@ -518,6 +518,14 @@ def test_toxicity_sample(spark, monkeypatch):
     assert toxicity.learned(docs, docs.select("doc_id", F.lit(1).alias("toxic"))) == (3000, 6000)
 
 
+def test_toxicity_takes_one_text_of_an_id(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "fit", lambda positive, unlabelled, prior: (len(positive), len(unlabelled)))
+    docs = spark.range(900).select(F.least("id", F.lit(20)).alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    inside = docs.filter(toxicity.in_training()).select("doc_id").distinct()
+    assert inside.filter("doc_id = 20").count() == 1
+    assert toxicity.learned(docs, docs.select("doc_id", F.lit(1).alias("toxic"))) == (inside.count(),) * 2
+
+
 def test_risk_step_needs_no_negatives():
     random_ = np.random.default_rng(2)
     rows = lambda n, toxic: [toxicity.text_features(prose(30) + (" awful nasty" if toxic(i) else "")) for i in range(n)]
