@@ -262,13 +262,19 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     ranked = sharded.withColumn("_rank", F.row_number().over(order) - 1).join(heads, ["_bin", "_shard"])
     ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_head"))
     inside = (ranked["_bin"] == plan["_bin"]) & (ranked["_rank"] >= plan["_low"]) & (ranked["_rank"] < plan["_high"])
-    placed = written(ranked.join(F.broadcast(plan), inside, "left").select(*names, (F.col("_first") + F.col("_rank") - F.col("_low")).alias("sequence_id"), "_position", "_depth"), "packing")
+    placed = written(ranked.join(F.broadcast(plan), inside, "left").select(*names, ranked["_bin"], "_rank", (F.col("_first") + F.col("_rank") - F.col("_low")).alias("sequence_id"), "_position", "_depth"), "packing")
 
     alone = placed.filter("_depth = 1").select(*names, "sequence_id", F.lit(0).cast("long").alias("offset"))
     left_of = Window.partitionBy("sequence_id").orderBy("_position").rowsBetween(Window.unboundedPreceding, -1)
     joint = placed.filter("_depth > 1").select(*names, "sequence_id", F.coalesce(F.sum("length").over(left_of), F.lit(0)).alias("offset"))
-    groups = max(0, int(histogram.sum()) - sum(r[2] - r[1] for r in rows)) // SHARD + 1
-    rest = placed.filter("_depth is null").select(*names, F.pmod(F.xxhash64("start", "doc_id", "ids_crc32"), F.lit(groups)).alias("_group"))
+    # the plan takes the first ranks of each bin; the others are numbered on from bin to bin, and dealt out in turn
+    used = np.zeros(bins + 1, np.int64)
+    for row in rows:
+        used[row[0]] = max(used[row[0]], row[2])
+    left = histogram - used
+    before_bin = F.array(*(F.lit(int(n)) for n in np.cumsum(left) - left - used))
+    groups = int(left.sum()) // SHARD + 1
+    rest = placed.filter("_depth is null").select(*names, F.pmod(F.element_at(before_bin, F.col("_bin") + 1) + F.col("_rank"), F.lit(groups)).cast("long").alias("_group"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields) + ", sequence_id long, offset long"
 
     def greedy(key: tuple, table: pa.Table) -> pa.Table:

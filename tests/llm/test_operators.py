@@ -104,6 +104,27 @@ def test_packing(docs, none, window):
     assert packing.pack_documents(none, WORD).count() == 0
 
 
+def test_packing_deals_out_identical_rows(spark, monkeypatch):
+    """However many rows are alike, no group of the greedy rest has more than SHARD of them."""
+    monkeypatch.setattr(packing, "SHARD", 50)
+    sizes = spark.sparkContext.accumulator(0)
+    known = packing.best_fit
+
+    def counted(lengths, window):
+        sizes.add(max(0, len(lengths) - 50))
+        return known(lengths, window)
+
+    monkeypatch.setattr(packing, "best_fit", counted)
+    pieces = spark.range(600).select(F.lit(1).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.when(F.col("id") < 500, 3001).otherwise(F.col("id")).cast("int").alias("length"), F.lit(5).cast("long").alias("ids_crc32"))
+    got = packing.pack_pieces(written(pieces, "alike"), 4096).collect()
+    assert len(got) == 600 and sizes.value == 0
+    spans = {}
+    for r in got:
+        spans.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in spans.values():
+        assert [o for o, _ in sorted(own)] == np.cumsum([0, *(n for _, n in sorted(own))])[:-1].tolist() and sum(n for _, n in own) <= 4096
+
+
 def test_packing_plan():
     random_ = np.random.default_rng(1)
     histogram = np.bincount(-(-np.minimum(4096, random_.lognormal(6.5, 1, 20_000).astype(int) + 1) // 16), minlength=257)
