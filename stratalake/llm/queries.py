@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, chat, fingerprints, jaccard, packing, substrings, topk, toxicity, url_filter, warc
+from stratalake.llm import bpe, chat, codes, fingerprints, jaccard, langid, merkle, packing, substrings, topk, toxicity, url_filter, warc
 from stratalake.llm.common import bounded_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,83 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"))
+
+
+@query("op11_language")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_documents(table(spark, sf_dir, "documents"))
+
+
+def merkle_sql(levels: int = 8, upper: int = 4) -> str:
+    """Level by level: up to ``levels`` in a language's tree and ``upper`` above the subroots."""
+    value = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: f"sha256({' || '.join(map(value, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    byte = "list_reduce(range(8), lambda c, i: xor(c >> 1, (c & 1) * 3988292384), xor(crc, b))"
+    digits = "list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)"
+    crc = f"xor(list_reduce({digits}, lambda crc, b: {byte}, 4294967295::BIGINT), 4294967295)"
+
+    def tree(name: str, count: int, first: str) -> list[str]:
+        parts = [f"{name}0 AS MATERIALIZED ({first})"]
+        for k in range(count):
+            run = "OVER (PARTITION BY tree, pos // 8 ORDER BY pos ROWS BETWEEN {})"
+            before, after = run.format("UNBOUNDED PRECEDING AND 1 PRECEDING"), run.format("1 FOLLOWING AND UNBOUNDED FOLLOWING")
+            parts.append(f"""{name}_r{k} AS MATERIALIZED (SELECT tree, pos, h, count(*) OVER (PARTITION BY tree) = 1 AS lone,
+                coalesce(string_agg(h, '') {before}, '') AS l, coalesce(string_agg(h, '') {after}, '') AS r FROM {name}{k})""")
+            parts.append(f"""{name}{k + 1} AS MATERIALIZED (SELECT tree, pos // 8 AS pos,
+                CASE WHEN any_value(lone) THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h
+                FROM {name}_r{k} GROUP BY tree, pos // 8)""")
+        return parts
+
+    def path(name: str, count: int, source: str, at: str) -> str:
+        """Folds the column f and extends the column proof of a table, level by level."""
+        for k in range(count):
+            source = f"""(SELECT b.* REPLACE (CASE WHEN x.lone THEN f ELSE sha256(x.l || f || x.r) END AS f, proof || x.l || x.r AS proof)
+                FROM {source} b JOIN {name}_r{k} x ON x.tree = b.{at}tree AND x.pos = b.{at}pos // {8**k})"""
+        return source
+
+    parts = [f"""own AS MATERIALIZED (SELECT doc_id, coalesce('+' || lang, '') AS tree, {leaf('text')} AS leaf,
+        CASE WHEN doc_id IS NOT NULL AND {crc} % 3 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS f FROM documents)""",
+        "placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, '' AS proof FROM own)"]
+    parts += tree("n", levels, "SELECT tree, pos, leaf AS h FROM placed")
+    parts += tree("u", upper, f"SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, h FROM n{levels}")
+    parts.append(f"tops AS (SELECT tree AS name, h AS subroot, '' AS uptree, row_number() OVER (ORDER BY tree) - 1 AS uppos FROM n{levels})")
+    parts.append(f"low AS MATERIALIZED (SELECT p.*, t.* FROM {path('n', levels, 'placed', '')} p JOIN tops t ON p.tree = t.name)")
+    return f"""WITH {", ".join(parts)}
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
+        FROM {path('u', upper, 'low', 'up')} e, (SELECT h AS root FROM u{upper})"""
+
+
+@query("op12_merkle", merkle_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_documents(table(spark, sf_dir, "documents"))
+
+
+def codes_sql(rounds: int = 6) -> str:
+    parts = ["""kept AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, label,
+            list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        """pieces AS MATERIALIZED (SELECT rid, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS x
+            FROM kept, (SELECT unnest(range(8)) AS p))""",
+        """book0 AS MATERIALIZED (SELECT p, e, x AS y FROM pieces JOIN
+            (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM kept) USING (rid) WHERE e < 16)"""]
+    for i in range(rounds + 1):
+        square = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - y[i]) * (x[i] - y[i])))"
+        parts.append(f"near{i} AS MATERIALIZED (SELECT rid, p, min({square}::HUGEINT * 16 + e) AS best FROM pieces JOIN book{i} USING (p) GROUP BY rid, p)")
+        if i < rounds:
+            parts.append(f"""book{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(z, y) AS y FROM book{i} LEFT JOIN
+                (SELECT p, e, list(((s - ((s % c) + c) % c) // c)::BIGINT ORDER BY k) AS z FROM
+                    (SELECT p, (best % 16)::BIGINT AS e, k, sum(x[k]) AS s, count(*) AS c
+                     FROM near{i} JOIN pieces USING (rid, p), (SELECT unnest(range(1, (SELECT max(len(x)) FROM pieces) + 1)) AS k) GROUP BY ALL)
+                 GROUP BY p, e) USING (p, e))""")
+    return f"""WITH {", ".join(parts)},
+        found AS (SELECT rid, string_agg(printf('%02x', (best % 16)::BIGINT), '' ORDER BY p) AS code, sum(best // 16)::BIGINT AS error
+                  FROM near{rounds} GROUP BY rid),
+        digest AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+        FROM kept JOIN found USING (rid), digest"""
+
+
+@query("op13_codes", codes_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))

@@ -27,7 +27,7 @@ def test_query(spark, name):
 
 def test_registered():
     found = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in found) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in found) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_stages(spark):
