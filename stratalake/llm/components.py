@@ -30,3 +30,17 @@ def connected(links: DataFrame) -> DataFrame:
         mark = now
     roots = edges.select("v").distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select(F.col("v").alias("node"), F.col("v").alias("root")))
+
+
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``node, root`` after more links ``a, b``: only the roots that the links touch are connected again."""
+    if links.isEmpty():
+        return roots
+    ends = links
+    for side in "ab":
+        known = roots.select(F.col("node").alias(side), F.col("root").alias("known"))
+        ends = ends.join(known, side, "left").withColumn(side, F.coalesce("known", side)).drop("known")
+    moved = written(connected(ends.select("a", "b")), "moved")
+    to = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    old = roots.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return written(old.unionByName(moved.join(roots, "node", "left_anti")), "roots")

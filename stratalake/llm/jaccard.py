@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.functions.names import column
 from stratalake.llm.common import U64, PrefixHash, mixed, row_blocks, strings, written
-from stratalake.llm.components import connected
+from stratalake.llm.components import connected, joined
 
 WORDS, PERCENT = 5, 75
 BLOCK = 2_000_000
@@ -246,7 +246,8 @@ def passing(keys: np.ndarray, bits: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def emitted(texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Rows of three kinds: 0, ``id, node, size`` of each text; 1, ``node, size, symbol``; 2, ``node, size, sketch, hashes``."""
+    """A table with rows of three kinds: 0, ``id, node, size`` of each text; 1, ``node, size, symbol``; 2, ``node, size,
+    sketch, hashes``."""
     spark: SparkSession = texts.sparkSession
     bits, buckets = shared_filter(texts, n, percent)
     shared = spark.sparkContext.broadcast(bits)
@@ -295,7 +296,9 @@ def emitted(texts: DataFrame, n: int, percent: int) -> DataFrame:
                 yield from packed(batch)
 
     schema = f"kind int, id {id_kind.simpleString()}, node long, size long, symbol long, sketch binary, hashes binary"
-    return texts.select("id", "text").mapInArrow(emit, schema)
+    rows = written(texts.select("id", "text").mapInArrow(emit, schema), "shingles")
+    shared.destroy()  # the table is written, so nothing needs the filter any more
+    return rows
 
 
 def close_sizes(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -424,11 +427,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return beside(written(close, "close"), "hashes").filter(similar("hashes_a", "hashes_b")).select("a", "b")
 
 
-def across(members: DataFrame, sets: DataFrame, percent: int, nearest: int | None = None) -> DataFrame:
+def across(members: DataFrame, heads: DataFrame, sets: DataFrame, percent: int, nearest: int | None = None) -> DataFrame:
     """Candidate pairs of different roots among the members ``head, a, size_a, root`` of large groups with the same first
-    node, block against block; with ``nearest`` only so many for each member, those with the closest sketches."""
-    several = members.groupBy("head").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter("low < high")
-    rows = members.join(several.select("head", "n"), "head").join(sets.select(F.col("node").alias("a"), "sketch"), "a")
+    node, block against block, for the ``head, n`` with several roots among n members; with ``nearest`` only so many for
+    each member, those with the closest sketches."""
+    rows = members.join(heads, "head").join(sets.select(F.col("node").alias("a"), "sketch"), "a")
     rows = rows.withColumn("blocks", F.floor(F.col("n") / MEMBERS).cast("long") + 1).withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "a", "size_a", "root", "sketch")
@@ -462,7 +465,7 @@ def across(members: DataFrame, sets: DataFrame, percent: int, nearest: int | Non
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each row."""
     texts = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
-    rows = written(emitted(texts, n, percent), "shingles")
+    rows = emitted(texts, n, percent)
     members = rows.filter("kind = 0").select("id", "node", "size")
     sets = rows.filter("kind = 2").groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("hashes").alias("hashes"))
     sets = written(sets, "sets")
@@ -478,10 +481,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # first the nearest of each, which joins most of what belongs together, then all that is left
     for nearest in (NEAREST, None):
         own = large.join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
-        more = written(verified(across(own, sets, percent, nearest), sets, percent), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = connected(links)
+        open_ = own.groupBy("head").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter("low < high")
+        open_ = written(open_.select("head", "n"), "heads")
+        if open_.isEmpty():
+            break
+        roots = joined(roots, written(verified(across(own, open_, sets, percent, nearest), sets, percent), "links"))
     classes = members.filter("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("least"))
     classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))

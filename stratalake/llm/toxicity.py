@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts (the positives) and texts without any label (the unlabelled) train a linear classifier on hashed
+Confirmed toxic texts (the positives) and any texts of the training fold (the unlabelled) train a linear classifier on hashed
 word features. With the class prior p, the risk p * E_pos[loss(f)] + max(0, E_unl[loss(-f)] - p * E_pos[loss(-f)]) is that
 of a training set with both labels; where a batch turns its second part negative, the step goes the other way, so that
 the classifier cannot drive the estimate below nothing by overfitting.
@@ -23,9 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratalake.functions.names import column
+from stratalake.llm.common import written
 
 DIMENSIONS = 1 << 18
 STEMS = (4, 5, 6)
@@ -113,9 +114,14 @@ def log_ratios(positive: Samples, unlabelled: Samples, smooth: float = 1.0) -> n
     """Of each slot: log of its share of positive texts over its share of unlabelled ones, smoothed."""
     seen_p = np.bincount(positive.slots, minlength=DIMENSIONS)
     seen_u = np.bincount(unlabelled.slots, minlength=DIMENSIONS)
-    p, u = seen_p / max(1, len(positive)), seen_u / max(1, len(unlabelled))
-    both = (seen_p + seen_u) / max(1, len(positive) + len(unlabelled))
-    spread = np.sqrt(both * (1 - both) * (1 / max(1, len(positive)) + 1 / max(1, len(unlabelled)))) + 1e-12
+    return ratios_of(seen_p, seen_u, len(positive), len(unlabelled))
+
+
+def ratios_of(seen_p: np.ndarray, seen_u: np.ndarray, n_p: int, n_u: int) -> np.ndarray:
+    """The log ratios from the numbers of texts that have each slot; 0 where the two shares do not differ surely."""
+    p, u = seen_p / max(1, n_p), seen_u / max(1, n_u)
+    both = (seen_p + seen_u) / max(1, n_p + n_u)
+    spread = np.sqrt(both * (1 - both) * (1 / max(1, n_p) + 1 / max(1, n_u))) + 1e-12
     return np.log((p + FLOOR) / (u + FLOOR)) * ((np.abs(p - u) >= SURE * spread) & (seen_p + seen_u >= SEEN))
 
 
@@ -176,9 +182,14 @@ def calibrated(model: Model, positive: Samples, unlabelled: Samples, prior: floa
     return Model(model.weights * scale, float((model.bias - cut) * scale + low))
 
 
+def held_back(row):
+    """Whether a row of the sample calibrates and does not train."""
+    return row % 4 == 3
+
+
 def fit(positive: list[tuple], unlabelled: list[tuple], prior: float) -> Model:
     """Trains on three quarters of the rows (in the given order) and calibrates on the rest."""
-    split = lambda rows, back: [r for i, r in enumerate(rows) if (i % 4 == 3) == back]
+    split = lambda rows, back: [r for i, r in enumerate(rows) if held_back(i) == back]
     model = train(Samples(split(positive, False)), Samples(split(unlabelled, False)), prior)
     return calibrated(model, Samples(split(positive, True) or positive), Samples(split(unlabelled, True) or unlabelled), prior)
 
@@ -191,7 +202,8 @@ def in_training(id_col: str = "doc_id") -> Column:
 def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """A model of the training fold: the positives are its texts with label 1, the unlabelled any of its texts, at most
     ``positives`` and ``unlabelled`` ids with the smallest hashes; the prior is the share of label 1 among its labels. Of
-    the texts that share an id, the one with the smallest hash is taken. The sample is what the driver gets."""
+    the texts that share an id, the one with the smallest hash is taken. The sample's features are written; the driver gets
+    how many texts have each slot (DIMENSIONS numbers of each kind), and then the features in slots with a log ratio."""
     fold = labels.filter(in_training(id_col)).select(column(id_col).alias("id"), column(label_col).cast("double").alias("label"))
     prior = fold.agg(F.avg("label")).first()[0] or 0.0
     order = [F.xxhash64("id"), "id"]
@@ -209,7 +221,36 @@ def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     texts = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
     one = texts.join(F.broadcast(chosen), "id").groupBy("id", "kind").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
     sample = one.select(F.xxhash64("id").alias("place"), "kind", "least.text")
-    table = sample.mapInArrow(features, "place long, kind int, slots binary, values binary").toArrow().sort_by([("place", "ascending"), ("slots", "ascending")])
+    found = written(sample.mapInArrow(features, "place long, kind int, slots binary, values binary"), "sample")
+    ranked = Window.partitionBy("kind").orderBy("place", "slots")  # ``positives`` or ``unlabelled`` rows at most
+    found = written(found.withColumn("row", F.row_number().over(ranked) - 1), "sample")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, DIMENSIONS), np.int64)
+        for batch in batches:
+            for kind, slots in zip(batch.column(0).to_pylist(), batch.column(1)):
+                seen[kind][np.frombuffer(slots.as_py(), np.int32)] += 1
+        kinds, slots = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(slots, pa.int32()), pa.array(seen[kinds, slots])], ["kind", "slot", "n"])
+
+    trained = found.filter(~held_back(F.col("row")))
+    counts = trained.select("kind", "slots").mapInArrow(count, "kind int, slot int, n long").groupBy("kind", "slot").agg(F.sum("n").alias("n")).toArrow()
+    seen = np.zeros((2, DIMENSIONS), np.int64)
+    seen[counts.column("kind").to_numpy(), counts.column("slot").to_numpy()] = counts.column("n").to_numpy()
+    sizes = {r.kind: r["count"] for r in trained.groupBy("kind").count().collect()}
+    used = np.packbits(ratios_of(seen[1], seen[0], sizes.get(1, 0), sizes.get(0, 0)) != 0)
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = np.unpackbits(used, count=DIMENSIONS).astype(bool)
+        for batch in batches:
+            out: list[list[bytes]] = [[], []]
+            for slots, values in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                slots, values = np.frombuffer(slots, np.int32), np.frombuffer(values, np.float32)
+                for column_, data in zip(out, (slots, values)):
+                    column_.append(data[kept[slots]].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.binary()) for c in out)], ["kind", "row", "slots", "values"])
+
+    table = found.select("kind", "row", "slots", "values").mapInArrow(thin, "kind int, row int, slots binary, values binary").toArrow().sort_by("row")
     rows: dict[int, list[tuple]] = {0: [], 1: []}
     for kind, slots, values in zip(*(table.column(n).to_pylist() for n in ("kind", "slots", "values"))):
         rows[kind].append((np.frombuffer(slots, np.int32), np.frombuffer(values, np.float32)))
