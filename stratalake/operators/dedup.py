@@ -14,13 +14,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from stratalake.functions.names import column, fresh_name, require_columns
 
 
-def _unorderable(dtype: T.DataType) -> bool:
+def unorderable(dtype: T.DataType) -> bool:
+    """Whether values of the type have no order (maps, variants and what holds them)."""
     if isinstance(dtype, (T.MapType, T.VariantType)):
         return True
     if isinstance(dtype, T.ArrayType):
-        return _unorderable(dtype.elementType)
+        return unorderable(dtype.elementType)
     if isinstance(dtype, T.StructType):
-        return any(_unorderable(f.dataType) for f in dtype.fields)
+        return any(unorderable(f.dataType) for f in dtype.fields)
     return False
 
 
@@ -45,7 +46,7 @@ def keep_one(
     order = [_ordered(column(c), direction, nulls) for c in order_by if c not in keys]
     for f in df.schema.fields:
         if f.name not in keys and f.name not in order_by:
-            c = F.to_json(column(f.name)) if _unorderable(f.dataType) else column(f.name)
+            c = F.to_json(column(f.name)) if unorderable(f.dataType) else column(f.name)
             order.append(c.desc_nulls_last())
     if not order:
         return df.dropDuplicates(keys)
