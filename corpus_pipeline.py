@@ -30,7 +30,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     least = F.min_by(F.struct(*map(column, others)), F.struct(*order)) if others else F.lit(None)
     once = own.groupBy("doc_id", "text").agg(least.alias("least"))
     once = once.select("doc_id", "text", *(F.col("least").getField(c).alias(c) for c in others))
-    return once.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    return once.unionByName(docs.filter("doc_id is null")).select(*map(column, docs.columns))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
