@@ -117,14 +117,15 @@ RAW: dict[str, dict[str, str | tuple[str, str]]] = {
 }
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    exprs = [f"{e if isinstance(e, str) else e[0]} as {c}" for c, e in RAW[name].items()]
-    return table(spark, sf_dir, SOURCES[name]).selectExpr(*exprs)
+def raw_feed(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame | None = None, changed: dict[str, str] | None = None) -> DataFrame:
+    """The feed from its whole table, or from ``rows`` of it, with some columns ``changed``."""
+    exprs = [f"{e if isinstance(e, str) else e[0]} as {c}" for c, e in {**RAW[name], **(changed or {})}.items()]
+    return (table(spark, sf_dir, SOURCES[name]) if rows is None else rows).selectExpr(*exprs)
 
 
-def raw_sql(name: str) -> str:
-    exprs = ", ".join(f"{e if isinstance(e, str) else e[1]} AS {c}" for c, e in RAW[name].items())
-    return f"SELECT {exprs} FROM {SOURCES[name]}"
+def raw_sql(name: str, rows: str | None = None, changed: dict[str, str] | None = None) -> str:
+    exprs = ", ".join(f"{e if isinstance(e, str) else e[1]} AS {c}" for c, e in {**RAW[name], **(changed or {})}.items())
+    return f"SELECT {exprs} FROM {rows or SOURCES[name]}"
 
 
 # DuckDB text of the cleaning rules, by declared type.
@@ -140,14 +141,14 @@ def ntz_feed(name: str):
     return FEEDS[name].with_ntz()
 
 
-def silver_sql(name: str) -> str:
+def silver_sql(name: str, rows: str | None = None, changed: dict[str, str] | None = None) -> str:
     feed = ntz_feed(name)
     fields = [(f.name, f.name.lower(), f.dataType.simpleString()) for f in feed.schema.fields]
     clean = ", ".join(f"{CLEAN_SQL[t].format(c=c)} AS {low}" for c, low, t in fields)
     rest = ", ".join(f"{low} DESC NULLS LAST" for _, low, _ in fields if low not in feed.keys)
     return f"""
         SELECT *, TIMESTAMP '{AS_OF}' AS data_ingestao, strftime({feed.pickup}, '%Y%m') AS ano_mes
-        FROM (SELECT {clean} FROM ({raw_sql(name)}))
+        FROM (SELECT {clean} FROM ({raw_sql(name, rows, changed)}))
         QUALIFY row_number() OVER (PARTITION BY {", ".join(feed.keys)} ORDER BY {rest}) = 1
     """
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from queries.registry import query, table
 from stratalake.operators.scd import apply_scd2
+from stratalake.operators.scd_late import apply_changes
 from stratalake.operators.upsert import upsert
 
 CUSTOMER = {"c_name": "c_name", "c_nationkey": "c_nationkey"}
@@ -111,3 +114,45 @@ def scd2_change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
         null_safe=False,
         keep_unchanged=False,
     )
+
+
+# Dated changes: one before, one inside and one after the current interval, two of them on one day, some without any change.
+LATE = {
+    "early": ("date '2019-06-15'", "c_acctbal + 5", "c_custkey % 3 = 0"),
+    "inside": ("date '2022-02-02'", "case when c_custkey % 5 = 0 then c_acctbal else c_acctbal + 7 end", "c_custkey % 2 = 0"),
+    "again": ("date '2022-02-02'", "c_acctbal + 9", "c_custkey % 4 = 0"),
+    "late": ("date '2021-03-01'", "c_acctbal + 1", "c_custkey % 6 = 0"),
+    "new": ("date '2018-01-01'", "c_acctbal", "c_custkey % 7 = 0"),
+}
+
+
+def _late_columns(name: str) -> list[str]:
+    day, balance, _ = LATE[name]
+    key = "c_custkey + 10000000" if name == "new" else "nullif(c_custkey, 5)"
+    columns = {**TARGET, "k": key, "c_acctbal": balance, "day": day, "seq": str(list(LATE).index(name))}
+    return [f"{e} AS {c}" for c, e in columns.items()]
+
+
+LATE_SQL = " UNION ALL ".join(f"SELECT {', '.join(_late_columns(n))} FROM customer WHERE {LATE[n][2]}" for n in LATE)
+
+
+@query(
+    "scd2_late_changes",
+    f"""WITH h AS ({HISTORY_SQL}), c AS ({LATE_SQL}),
+        points AS (
+            SELECT {COLUMNS}, data_inicio AS d, 1 AS kind, NULL AS seq FROM h
+            UNION ALL SELECT {COLUMNS}, data_fim, 0, NULL FROM h WHERE data_fim < DATE '2400-12-31'
+            UNION ALL SELECT {COLUMNS}, day, 2, seq FROM c),
+        single AS (SELECT *, (kind = 0)::VARCHAR || '|' || CASE WHEN kind = 0 THEN '' ELSE coalesce(c_acctbal::VARCHAR, '-') || '|' || coalesce(c_mktsegment, '-') END AS v
+            FROM points QUALIFY row_number() OVER (PARTITION BY k, d ORDER BY kind DESC, seq DESC NULLS LAST, c_name DESC, c_acctbal DESC) = 1),
+        compared AS (SELECT *, lag(v) OVER (PARTITION BY k ORDER BY d) AS before FROM single),
+        begun AS (SELECT * FROM compared WHERE (before IS NOT NULL OR kind <> 0) AND before IS DISTINCT FROM v),
+        ended AS (SELECT *, lead(d) OVER (PARTITION BY k ORDER BY d) AS e FROM begun)
+        SELECT {COLUMNS}, d AS data_inicio, coalesce(e, DATE '2400-12-31') AS data_fim, CASE WHEN e IS NULL THEN 1 ELSE 0 END AS registro_ativo
+        FROM ended WHERE kind <> 0""",
+)
+def scd2_late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes with their own dates, out of order and twice on one day."""
+    customer = table(spark, sf_dir, "customer")
+    parts = [customer.filter(LATE[n][2]).selectExpr(*_late_columns(n)) for n in LATE]
+    return apply_changes(history(spark, sf_dir), reduce(DataFrame.unionByName, parts), ["k"], ["c_acctbal", "c_mktsegment"], "day", order_by=["seq"])
