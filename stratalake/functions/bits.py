@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F, types as T
 
 
-def as_number(c: Column, dtype: T.DataType) -> Column:
-    """An order-preserving number (text: by its first six bytes)."""
+def as_ordered(c: Column, dtype: T.DataType) -> Column:
+    """What stands for a value in comparisons with bounds: texts themselves, all else as an order-preserving number."""
     if isinstance(dtype, T.StringType):
-        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("bigint")
+        return c
     if isinstance(dtype, T.DateType):
         return F.unix_date(c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -30,7 +29,34 @@ def spread(number: int, step: int, offset: int) -> int:
     return out
 
 
-def bisected(c: Column, bounds: Sequence[float], leaves: Sequence[int]) -> Column:
+def hilbert_index(point: Sequence[int], bits: int) -> int:
+    """The place of a cell, given by ``bits`` bits per axis, on the Hilbert curve: cells that follow each other touch.
+
+    The axes are turned and mirrored level by level (Skilling's transform), which leaves a Gray code to be dealt out.
+    """
+    x, n = list(point), len(point)
+    for level in range(bits - 1, 0, -1):
+        low = (1 << level) - 1
+        for i in range(n):
+            if x[i] >> level & 1:
+                x[0] ^= low
+            else:
+                swap = (x[0] ^ x[i]) & low
+                x[0], x[i] = x[0] ^ swap, x[i] ^ swap
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    mirror = 0
+    for level in range(bits - 1, 0, -1):
+        if x[-1] >> level & 1:
+            mirror ^= (1 << level) - 1
+    out = 0
+    for level in range(bits - 1, -1, -1):
+        for v in x:
+            out = out << 1 | ((v ^ mirror) >> level & 1)
+    return out
+
+
+def bisected(c: Column, bounds: Sequence[float | str], leaves: Sequence[int]) -> Column:
     """``leaves[n]`` for the number n of ascending ``bounds`` that are <= c.
 
     A balanced tree of comparisons with constants at its leaves, so whatever
