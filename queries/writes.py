@@ -6,13 +6,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from queries.feeds import HOURS_IN_MAY, RAW_SQL, TOTAL_SQL, gold_sql, gold_trips, monthly_sql, ntz_feed, silver
 from queries.registry import query, table
 from stratalake.fixed import YEAR_MONTH
 from stratalake.operators.dates import with_year_month
+from stratalake.plans.gold import publish_gold, read_gold_monthly
+from stratalake.plans.report import report
 from stratalake.sources.files import append_parquet, ingest_files, read_bronze, read_parquet
 from stratalake.sources.layout import cluster_write, optimize_for_reads, partitioned_write, with_zorder_key
 from stratalake.sources.storage import shared_dir
-from stratalake.sources.tables import publish, read_partitions, read_table, register_views, upsert_partitions
+from stratalake.sources.tables import compact_partitions, publish, publish_partitions, read_partitions, read_table, register_views, upsert_partitions
 from stratalake.streaming.ingest import append_stream, ingest_stream, read_stream_bronze
 from stratalake.streaming.upsert import upsert_stream
 
@@ -44,6 +47,46 @@ def clustered_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@query("clustered_by_text", "SELECT * FROM customer")
+def clustered_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clustered by names that all begin alike, and by balance."""
+    path = shared_dir(spark, "by-text")
+    cluster_write(table(spark, sf_dir, "customer"), path, ["c_name", "c_acctbal"], files=16)
+    return read_table(spark, path)
+
+
+@query("gold_clustered", monthly_sql(gold_sql(RAW_SQL)))
+def gold_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both gold tables published clustered; the monthly one is read back."""
+    root = shared_dir(spark, "gold-clustered")
+    publish_gold(spark, gold_trips(spark, sf_dir), f"{root}/trips", f"{root}/monthly", scale=2, optimize=True)
+    return read_gold_monthly(spark, f"{root}/monthly", "timestamp_ntz")
+
+
+@query(
+    "report_from_published",
+    f"""SELECT 'media_total_amount' AS metric, 'yellow' AS key, media_total_amount AS value FROM ({TOTAL_SQL})
+        UNION ALL SELECT 'media_passageiros', CAST(hora AS VARCHAR), media_passageiros FROM ({HOURS_IN_MAY})""",
+)
+def report_from_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from published gold and silver: the month selects the partitions of silver that are read."""
+    root, feed = shared_dir(spark, "report"), ntz_feed("yellow")
+    publish_gold(spark, gold_trips(spark, sf_dir), f"{root}/trips", f"{root}/monthly", scale=2)
+    publish_partitions(silver(spark, sf_dir, "yellow"), f"{root}/silver", YEAR_MONTH)
+    yellow = read_partitions(spark, f"{root}/silver", YEAR_MONTH, silver(spark, sf_dir, "yellow").schema)
+    return report(read_gold_monthly(spark, f"{root}/monthly", "timestamp_ntz"), yellow.select(feed.pickup, "passenger_count", YEAR_MONTH), scale=2)
+
+
+@query("compacted_partitions", "SELECT *, strftime(ts, '%Y%m%d') AS day FROM events")
+def compacted_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days written as many small files, which are then rewritten together."""
+    path = shared_dir(spark, "compacted")
+    events = table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyyMMdd"))
+    publish_partitions(events.repartition(6), path, "day")
+    compact_partitions(spark, path, "day", events.schema, target=1 << 27)
+    return read_partitions(spark, path, "day", events.schema)
+
+
 @query("partitioned_roundtrip", "SELECT *, strftime(o_orderdate, '%Y%m') AS ano_mes FROM orders")
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "partitioned")
@@ -188,6 +231,25 @@ def partition_upsert_moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_partitions(spark, path, "day", known.schema)
 
 
+FEW_SQL = "SELECT * FROM events WHERE event_id % 1000 = 7"
+
+
+@query(
+    "upsert_by_bloom",
+    f"""SELECT * REPLACE (value + 1 AS value), strftime({MOVED_DAY}, '%Y%m%d') AS day FROM ({FEW_SQL})
+    UNION ALL SELECT *, strftime(ts, '%Y%m%d') AS day FROM events WHERE event_id % 1000 <> 7 OR event_id IS NULL""",
+)
+def upsert_by_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few keys come again, some in the next day; Bloom filters tell which row groups may have them."""
+    path = shared_dir(spark, "bloom")
+    known = table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyyMMdd"))
+    few = known.filter("event_id % 1000 = 7").withColumn("value", F.col("value") + 1)
+    few = few.withColumn("day", F.date_format(F.expr(MOVED_DAY), "yyyyMMdd"))
+    upsert_partitions(known, path, "day", ["event_id"], source_unique=True, bloom=True)
+    upsert_partitions(few, path, "day", ["event_id"], source_unique=True, bloom=True)
+    return read_partitions(spark, path, "day", known.schema)
+
+
 @query(
     "ingest_drift",
     "SELECT event_id, value FROM events",

@@ -10,12 +10,13 @@ from stratalake.fixed import OTHER_PROVIDER, PROVIDERS, YEAR_MONTH
 from stratalake.operators.aggregate import monthly_aggregate
 from stratalake.operators.conform import code_label, conform, typed_null, union_all
 from stratalake.operators.dates import with_year_month
-from stratalake.sources.layout import rebalanced
+from stratalake.sources.layout import clustered, rebalanced
 from stratalake.sources.tables import publish_partitions, read_partitions
 
 PLACES = {"pulocationid": "pulocationid", "dolocationid": "dolocationid"}
-# Order of the rows inside the published files.
+# Order of the rows inside the published files, and columns that both tables are clustered by.
 SORTED_BY = ["pickup_datetime", "pulocationid", "dolocationid", "service_type"]
+MONTHLY_SORTED_BY = ["service_type", "provider", "pulocationid", "dolocationid"]
 
 
 def _layout(pickup: str, dropoff: str, distance, amount, service: str, provider=None) -> dict:
@@ -70,16 +71,26 @@ def publish_gold(
     monthly_path: str,
     months: Sequence[str] | None = None,
     scale: int | None = None,
+    optimize: bool = False,
+    files: int | None = None,
 ) -> None:
     """Publish the given trips by month, then aggregate what was published.
 
     The aggregate is grouped by month, so rebuilding only the ``months`` that
-    changed is exact; ``trips`` then holds all trips of those months.
+    changed is exact; ``trips`` then holds all trips of those months. With
+    ``optimize`` both tables are then rewritten, month by month clustered by
+    the columns they are filtered on, in ``files`` files or as many as the
+    session has shuffle partitions.
     """
     layout = rebalanced(trips, YEAR_MONTH).sortWithinPartitions(YEAR_MONTH, *SORTED_BY)
     publish_partitions(layout, trips_path, YEAR_MONTH)
     published = read_partitions(spark, trips_path, YEAR_MONTH, trips.schema, months)
-    publish_partitions(rebalanced(monthly_aggregate(published, scale=scale), YEAR_MONTH), monthly_path, YEAR_MONTH)
+    monthly = monthly_aggregate(published, scale=scale)
+    publish_partitions(rebalanced(monthly, YEAR_MONTH), monthly_path, YEAR_MONTH)
+    if optimize:
+        for path, schema, cols in ((trips_path, trips.schema, SORTED_BY), (monthly_path, monthly.schema, MONTHLY_SORTED_BY)):
+            rows = read_partitions(spark, path, YEAR_MONTH, schema, months)
+            publish_partitions(clustered(rows, cols, files, lead=[YEAR_MONTH]), path, YEAR_MONTH, same_rows=True)
 
 
 def read_gold_trips(spark: SparkSession, path: str, timestamp: str = "timestamp") -> DataFrame:

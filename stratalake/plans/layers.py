@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.fixed import YEAR_MONTH
 from stratalake.plans.gold import publish_gold, read_gold_monthly, read_gold_trips, to_gold
 from stratalake.plans.report import report
-from stratalake.plans.silver import optimize_silver, publish_silver, read_silver
+from stratalake.plans.side_by_side import run_side_by_side
+from stratalake.plans.silver import COUNTS, optimize_silver, publish_counted_silver, read_silver
 from stratalake.sources.feeds import FEEDS, Feed
 from stratalake.sources.files import ingest_files, read_bronze
-from stratalake.sources.tables import partition_values, publish, register_views, versions
+from stratalake.sources.tables import changed_partitions, newest_parts, publish, register_views, versions
 
 
 def _newest(spark: SparkSession, path: str) -> int:
@@ -33,6 +35,7 @@ def run_layers(
     optimize: bool = False,
     timestamp: str = "timestamp",
     scale: int | None = None,
+    side_by_side: int = 4,
 ) -> dict[str, DataFrame]:
     """Bring every layer below ``lake`` up to date with the landing files.
 
@@ -40,17 +43,19 @@ def run_layers(
     is new in the one before: silver the new loads, gold the months that
     silver rewrote. A layer notes its progress after its write, and taking in
     the same input twice changes nothing, so a run that was interrupted is
-    completed by the next one. A feed that fails stops no other: what it has in
-    silver stays, its progress is not noted, and ``errors`` has its name and
-    message. Returns the layers and ``errors``, also registered as SQL views of
-    the same names.
+    completed by the next one. ``side_by_side`` feeds go to silver at a time. A
+    feed that fails stops no other: what it has in silver stays, its progress
+    is not noted, and ``errors`` has its name and message. ``quality`` has what
+    was counted while silver was written, per feed and month. Returns the
+    layers, ``errors`` and ``quality``, also registered as SQL views of the
+    same names.
     """
     paths = {
         name: {layer: f"{lake}/{layer}/{name}" for layer in ("bronze", "ledger", "silver", "silver_done", "gold_done")}
         for name in landing
     }
-    months: set[str] = set()
-    errors: dict[str, str] = {}
+
+    counted: dict[str, list[tuple]] = {}
 
     def to_silver_layer(name: str, directory: str) -> set[str]:
         """The months that silver rewrote and gold has not taken in."""
@@ -58,26 +63,24 @@ def run_layers(
         ingest_files(spark, directory, p["bronze"], p["ledger"], feed.schema)
         done, newest = _newest(spark, p["silver_done"]), _newest(spark, p["ledger"])
         if newest > done:
-            publish_silver(read_bronze(spark, p["bronze"], p["ledger"], feed.schema, after=done), feed, p["silver"], as_of)
+            bronze = read_bronze(spark, p["bronze"], p["ledger"], feed.schema, after=done)
+            counted[name] = publish_counted_silver(bronze, feed, p["silver"], as_of)
             _mark(spark, p["silver_done"], newest)
         done = _newest(spark, p["gold_done"])
-        new = [version for version in versions(spark, p["silver"]) if version > done]
-        return {month for version in new for month in partition_values(spark, p["silver"], YEAR_MONTH, version)}
+        return set(changed_partitions(spark, p["silver"], done))
 
-    for name, directory in landing.items():
-        try:
-            months |= to_silver_layer(name, directory)
-        except Exception as error:  # whatever is wrong with a feed, the others go on
-            errors[name] = f"{type(error).__name__}: {error}"
+    found, failed = run_side_by_side(spark, {n: partial(to_silver_layer, n, d) for n, d in landing.items()}, side_by_side)
+    months = set().union(*found.values())
+    errors = {name: f"{type(failed[name]).__name__}: {failed[name]}" for name in landing if name in failed}
     trips_path, monthly_path = f"{lake}/gold/trips", f"{lake}/gold/monthly"
     if months:
         touched = sorted(months)
         silver = {name: read_silver(spark, feeds[name], paths[name]["silver"], touched) for name in landing}
-        publish_gold(spark, to_gold(silver), trips_path, monthly_path, touched, scale)
+        publish_gold(spark, to_gold(silver), trips_path, monthly_path, touched, scale, optimize)
         for name in landing:
             if name in errors:
                 continue
-            newest = _newest(spark, paths[name]["silver"])
+            newest = newest_parts(spark, paths[name]["silver"])
             if optimize:
                 newest = optimize_silver(spark, feeds[name], paths[name]["silver"], touched)
             if newest:
@@ -88,5 +91,6 @@ def run_layers(
     if "silver_yellow" in tables:
         tables["report"] = report(tables["gold_monthly"], tables["silver_yellow"], scale=scale)
     tables["errors"] = spark.createDataFrame(list(errors.items()), "feed string, error string")
+    tables["quality"] = spark.createDataFrame([(name, *row) for name, own in sorted(counted.items()) for row in own], f"feed string, {COUNTS}")
     register_views(spark, tables)
     return tables

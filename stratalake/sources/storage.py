@@ -12,24 +12,25 @@ def hadoop_path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def matching(spark: SparkSession, base: str, pattern: str) -> list[list[str]]:
+def sized(spark: SparkSession, base: str, pattern: str) -> list[tuple[list[str], int]]:
     """Paths below ``base`` that match a glob of one or more levels, each as
-    its names below ``base``; empty if there are none."""
+    its names below ``base``, with their bytes; empty if there are none."""
     literal = re.sub(r"([\\*?\[\]{}])", r"\\\1", base.rstrip("/"))
     target = hadoop_path(spark, f"{literal}/{pattern}")
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     depth = pattern.count("/") + 1
     found = fs.globStatus(target) or []
-    return sorted(str(status.getPath().toString()).split("/")[-depth:] for status in found)
+    return sorted((str(status.getPath().toString()).split("/")[-depth:], status.getLen()) for status in found)
 
 
-def fresh_dirs(spark: SparkSession, base: str, names: list[str]) -> None:
-    """``base`` with these empty directories and nothing else."""
-    target = hadoop_path(spark, base)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(target, True)
-    for name in names:
-        fs.mkdirs(hadoop_path(spark, f"{base}/{name}"))
+def matching(spark: SparkSession, base: str, pattern: str) -> list[list[str]]:
+    """As ``sized``, without the bytes."""
+    return [names for names, _ in sized(spark, base, pattern)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = hadoop_path(spark, path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
