@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from stratalake.functions.casting import safe_cast
 from stratalake.functions.names import column, lookup, require_columns
 from stratalake.operators.clean import DEFAULTS, TYPES
+from stratalake.operators.dedup import unorderable
 
 NUMERIC = T.NumericType
 TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -29,11 +30,13 @@ def _unpivot(one_row: DataFrame, rows: Sequence[Column]) -> DataFrame:
     return one_row.select(F.inline(F.array(*rows)))
 
 
-def profile(df: DataFrame) -> DataFrame:
+def profile(df: DataFrame, distinct: bool = False) -> DataFrame:
     """Per column: count, nulls, mean, stddev, min and max as text.
 
     Everything comes from one aggregate over the table; mean and stddev are
     null for columns that are not numbers, min and max for nested ones.
+    ``distinct`` adds ``n_distinct``, an approximate count (5 % of standard
+    deviation), null for maps and the like.
     """
     aggregates, rows = [], []
     for i, f in enumerate(df.schema.fields):
@@ -49,6 +52,9 @@ def profile(df: DataFrame) -> DataFrame:
             (F.min(c).cast("string") if flat else nothing).alias(f"l{i}"),
             (F.max(c).cast("string") if flat else nothing).alias(f"h{i}"),
         ]
+        if distinct:
+            count = F.lit(None).cast("bigint") if unorderable(f.dataType) else F.approx_count_distinct(c)
+            aggregates.append(count.alias(f"d{i}"))
         rows.append(
             F.struct(
                 F.lit(f.name).alias("column_name"),
@@ -59,6 +65,7 @@ def profile(df: DataFrame) -> DataFrame:
                 F.col(f"s{i}").alias("stddev"),
                 F.col(f"l{i}").alias("min_value"),
                 F.col(f"h{i}").alias("max_value"),
+                *([F.col(f"d{i}").alias("n_distinct")] if distinct else []),
             )
         )
     return _unpivot(df.agg(*aggregates), rows)

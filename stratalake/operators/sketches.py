@@ -17,7 +17,7 @@ from stratalake.functions.names import column, require_columns
 
 K, LG_K = 1000, 12
 # Ranks at which two quantile functions are compared.
-GRID = 200
+GRID = 1000
 
 
 def _number(c: Column, dtype: T.DataType) -> Column:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from stratalake.fixed import FILLERS, INGESTED_AT, YEAR_MONTH
 from stratalake.functions.casting import safe_cast
 from stratalake.functions.dates import year_month
-from stratalake.functions.names import column, lookup
+from stratalake.functions.names import column, fresh_name, lookup
 from stratalake.operators.clean import standard_clean, upper_strings
 from stratalake.operators.dates import with_ingestion_time, with_year_month
 from stratalake.operators.dedup import keep_one
@@ -60,42 +61,50 @@ COUNTS = "ano_mes string, column_name string, check string, n bigint"
 def publish_counted_silver(bronze: DataFrame, feed: Feed, path: str, as_of: object | None = None) -> list[tuple]:
     """As ``publish_silver``; returns rows ``(ano_mes, column_name, check, n)``, those with a count.
 
-    The checks are ``rows`` (read), ``collapsed`` (gone as repeats of a key), and
-    per column ``cast_failures`` and ``fillers`` (nulls that were filled). They
-    are observed while the cleaned rows are written to the shared folder, from
-    where the upsert takes them, so nothing is scanned for them; only the
-    months are known before, from the pickup column. A stage that is run again
-    for a lost executor may be counted twice: counts are for people, not for
-    decisions.
+    Per month there are ``rows`` (read), ``collapsed`` (gone as repeats of a
+    key), ``cast_failures`` and ``fillers`` (nulls that were filled), and the
+    last two per column as well, over all months. They are observed while the
+    cleaned rows are written to the shared folder, from where the upsert takes
+    them, so nothing is scanned for them; only the months are known before,
+    from the pickup column. A stage that is run again for a lost executor may
+    be counted twice: counts are for people, not for decisions.
     """
     spark = bronze.sparkSession
     raw = {f.name: lookup(bronze.columns, f.name) for f in feed.schema.fields}
     typed = {n: safe_cast(column(c), bronze.schema[c].dataType, feed.schema[n].dataType) for n, c in raw.items() if c is not None}
     pickup = next(n for n in feed.schema.names if n.lower() == feed.pickup)
     filler = F.lit(FILLERS["timestamp"]).cast(feed.schema[pickup].dataType)
-    month = year_month(F.coalesce(typed[pickup], filler)) if pickup in typed else F.lit(None).cast("string")
+    month = year_month(F.coalesce(typed[pickup], filler)) if pickup in typed else year_month(filler)
     months = [row[0] for row in bronze.select(month.alias("m")).distinct().orderBy("m").collect()]
-    before: list[tuple[str, str | None, str, Column]] = []
-    for m in months:
-        own = month.eqNullSafe(F.lit(m))
-        before.append((m, None, "rows", own))
-        for n, c in typed.items():
-            before.append((m, n.lower(), "cast_failures", own & column(raw[n]).isNotNull() & c.isNull()))
-            if not isinstance(feed.schema[n].dataType, T.LongType):
-                before.append((m, n.lower(), "fillers", own & c.isNull()))
-    if not before:
+    if not months:
         return []
+    flags: dict[tuple[str, str], Column] = {}
+    for n, c in typed.items():
+        if bronze.schema[raw[n]].dataType != feed.schema[n].dataType:
+            flags[n.lower(), "cast_failures"] = column(raw[n]).isNotNull() & c.isNull()
+        if not isinstance(feed.schema[n].dataType, T.LongType):
+            flags[n.lower(), "fillers"] = c.isNull()
+    names = {check: fresh_name(bronze, check) for check in ("cast_failures", "fillers")}
+    per_row = {name: reduce(Column.__add__, [f.cast("int") for (_, own), f in flags.items() if own == check], F.lit(0)) for check, name in names.items()}
+    of = fresh_name(bronze, "month")
+    marked = bronze.withColumns({of: month, **per_row})
     seen, kept = Observation(), Observation()
-    counted = bronze.observe(seen, *[F.count_if(test).alias(f"c{i}") for i, (*_, test) in enumerate(before)])
-    silver = to_silver(counted, feed, as_of)
-    silver = silver.observe(kept, *[F.count_if(F.col(YEAR_MONTH).eqNullSafe(F.lit(m))).alias(f"m{i}") for i, m in enumerate(months)])
+    in_month = lambda i, c=1: F.sum(F.when(F.col(of) == months[i], c).otherwise(0))
+    metrics = [F.count_if(f).alias(f"f{i}") for i, f in enumerate(flags.values())]
+    for i in range(len(months)):
+        metrics.append(in_month(i).alias(f"rows{i}"))
+        metrics += [in_month(i, F.col(name)).alias(f"{check}{i}") for check, name in names.items()]
+    silver = to_silver(marked.observe(seen, *metrics), feed, as_of)
+    silver = silver.observe(kept, *[F.count_if(F.col(YEAR_MONTH) == m).alias(f"rows{i}") for i, m in enumerate(months)])
     staged = shared_dir(spark, "silver")
     silver.write.parquet(staged)
     source = spark.read.schema(silver.schema).parquet(staged)
     upsert_partitions(source, path, YEAR_MONTH, feed.keys, source_unique=True, touched_by=source.select(YEAR_MONTH), derived_from=feed.pickup)
-    rows = [(m, name, check, seen.get[f"c{i}"]) for i, (m, name, check, _) in enumerate(before)]
-    read = {m: n for m, _, check, n in rows if check == "rows"}
-    rows += [(m, None, "collapsed", read[m] - kept.get[f"m{i}"]) for i, m in enumerate(months)]
+    before, after = seen.get, kept.get
+    rows = [(None, name, check, before[f"f{i}"]) for i, (name, check) in enumerate(flags)]
+    for i, m in enumerate(months):
+        rows += [(m, None, check, before[f"{check}{i}"]) for check in ("rows", *names)]
+        rows.append((m, None, "collapsed", before[f"rows{i}"] - after[f"rows{i}"]))
     return [r for r in rows if r[-1]]
 
 
