@@ -54,11 +54,10 @@ def layers_quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WATCHED = ["o_totalprice", "o_custkey", "o_orderstatus"]
-GAP_SQL = """SELECT ano_mes, max(abs(f - g)) AS drift FROM (
-    SELECT ano_mes, sum(side) OVER w / sum(side) OVER (PARTITION BY ano_mes) AS f,
-           sum(1 - side) OVER w / sum(1 - side) OVER (PARTITION BY ano_mes) AS g
-    FROM (SELECT m.ano_mes, v, 1 AS side FROM own JOIN m USING (ano_mes) UNION ALL SELECT m.ano_mes, v, 0 FROM own JOIN m ON own.ano_mes = m.previous)
-    WINDOW w AS (PARTITION BY ano_mes ORDER BY v RANGE UNBOUNDED PRECEDING)) GROUP BY ano_mes"""
+GAP_SQL = """SELECT m.ano_mes, list_max(list_transform(range(0, 101), lambda i:
+        abs(a.s[greatest(1, (i * len(a.s) + 99) // 100)] - b.s[greatest(1, (i * len(b.s) + 99) // 100)])))
+        / (greatest(a.s[-1], b.s[-1]) - least(a.s[1], b.s[1])) AS drift
+    FROM m JOIN sorted a ON a.ano_mes = m.ano_mes JOIN sorted b ON b.ano_mes = m.previous"""
 
 
 def drift_sql(c: str) -> str:
@@ -66,6 +65,7 @@ def drift_sql(c: str) -> str:
     return f"""SELECT ano_mes, '{c}' AS column_name, n_values, 0 AS n_nulls, n_distinct, previous, {"round(drift, 6)" if number else "NULL::DOUBLE"} AS drift
         FROM (WITH own AS (SELECT strftime(o_orderdate, '%Y%m') AS ano_mes, {c} AS v FROM orders),
             m AS (SELECT ano_mes, count(*) AS n_values, count(DISTINCT v) AS n_distinct, lag(ano_mes) OVER (ORDER BY ano_mes) AS previous FROM own GROUP BY ano_mes),
+            sorted AS (SELECT ano_mes, list_sort(list(v)) AS s FROM own GROUP BY ano_mes),
             gap AS ({GAP_SQL if number else "SELECT NULL AS ano_mes, NULL AS drift"})
             SELECT m.*, CASE WHEN previous IS NOT NULL THEN drift END AS drift FROM m LEFT JOIN gap USING (ano_mes))"""
 

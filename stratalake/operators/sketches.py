@@ -16,8 +16,8 @@ from stratalake.functions.bits import as_ordered
 from stratalake.functions.names import column, require_columns
 
 K, LG_K = 1000, 12
-# Ranks at which two quantile functions are compared.
-GRID = 1000
+# Steps of the ranks at which two quantile functions are compared.
+GRID = 100
 
 
 def _number(c: Column, dtype: T.DataType) -> Column:
@@ -66,25 +66,26 @@ def sketch_profile(sketches: DataFrame) -> DataFrame:
     return sketches.select(*others, F.hll_sketch_estimate("distinct").alias("n_distinct"), *quartiles)
 
 
-def _gap(one: str, other: str) -> Column:
-    """The largest difference of two distributions' shares below a value, tried at GRID quantiles of the first."""
-    shares = F.transform(F.sequence(F.lit(1), F.lit(GRID - 1)), lambda i: i / F.lit(float(GRID)))
-    values = F.array_distinct(F.kll_sketch_get_quantile_double(one, shares))
-    pairs = F.zip_with(F.kll_sketch_get_rank_double(one, values), F.kll_sketch_get_rank_double(other, values), lambda a, b: F.abs(a - b))
-    return F.array_max(pairs)
+def _quantiles(sketch: str) -> Column:
+    """Least, greatest and the values at GRID - 1 even ranks between."""
+    return F.kll_sketch_get_quantile_double(sketch, F.lit([i / GRID for i in range(GRID + 1)]))
 
 
 def drift(sketches: DataFrame, order: str, groups: Sequence[str] = ()) -> DataFrame:
     """Each sketch row with ``previous``, the value of ``order`` in the row before it, and ``drift``: the largest gap between
-    the two distribution functions (0: the same, 1: apart), null where one of them has no ranks.
+    their two quantile functions, as a share of the range of both (0: the same), null where one of them has no ranks.
 
-    The gap is looked for at the quantiles of both, so it is off by a step of
-    the grid and the errors of two sketches at most. ``groups`` are further
-    group columns, within which ``order`` moves.
+    The functions are compared at the least value, the greatest and GRID - 1
+    ranks between; a quantile may be that of a rank beside, within the error of
+    the sketch. ``groups`` are further group columns, within which ``order``
+    moves.
     """
     (order,) = require_columns(sketches, [order])
     line = Window.partitionBy(*map(column, require_columns(sketches, groups)), "column_name").orderBy(column(order))
     rows = sketches.withColumns({"previous": F.lag(column(order)).over(line), "__before": F.lag("quantiles").over(line)})
     both = (F.kll_sketch_get_n_double("quantiles") > 0) & (F.kll_sketch_get_n_double("__before") > 0)
-    gap = F.when(both, F.greatest(_gap("quantiles", "__before"), _gap("__before", "quantiles")))
-    return rows.withColumn("drift", gap).drop("__before")
+    one, other = _quantiles("quantiles"), _quantiles("__before")
+    gap = F.array_max(F.zip_with(one, other, lambda a, b: F.abs(a - b)))
+    span = F.greatest(F.get(one, F.lit(GRID)), F.get(other, F.lit(GRID))) - F.least(F.get(one, F.lit(0)), F.get(other, F.lit(0)))
+    share = F.when(span > 0, gap / span).otherwise(F.lit(0.0))
+    return rows.withColumn("drift", F.when(both, share)).drop("__before")
