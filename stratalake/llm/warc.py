@@ -12,7 +12,7 @@ read: a task that runs twice leaves an unused file, no double record.
 
 Defined results: a null payload is an empty one; a null URL leaves out the target header; rows with a null id never
 become the response of others while an id is there, and are written with an empty identifier; rows that repeat the
-smallest id are responses, too; control characters and spaces of a URL are percent-encoded; an empty table gives no
+smallest id are responses, too; payloads of any length are written whole, each in one frame; control characters and spaces of a URL are percent-encoded; an empty table gives no
 rows; other columns are not read.
 """
 
@@ -24,6 +24,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import groupby
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -36,6 +37,8 @@ from stratalake.sources.storage import shared_dir
 #: Plain bytes of a frame and compressed bytes of a bundle, at which the next one starts.
 FRAME, BUNDLE = 1 << 19, 1 << 26
 LEVEL = 3
+#: Frames of a bundle that are read together, and such runs in a partition.
+RUN, RUNS = 8, 2
 #: Fixed values of the seekable Zstandard format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 IDENTIFIER = "<urn:x-page:{}>"
@@ -189,8 +192,12 @@ def write_bundles(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
 
 
 def read_bundles(index: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
-    """All records of the bundles that an index names: ``page, payload_bytes, payload_digest, record_type, refers_to``
-    (ids as text) and, if asked for, ``url`` and ``payload``."""
+    """All records that an index names, each at its frame and offset: ``page, payload_bytes, payload_digest, record_type,
+    refers_to`` (ids as text) and, if asked for, ``url`` and ``payload``.
+
+    A row of work is a run of RUN frames of one bundle, and a partition has RUNS of them at most on average, however small
+    the index is: their number follows the size of the archive.
+    """
     names = ["page", "payload_bytes", "payload_digest", "record_type", "refers_to"] + ["url", "payload"] * with_payload
     fields = ["page", "size", "digest", "type", "refers_to"] + ["url", "payload"] * with_payload
     kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary()]
@@ -198,18 +205,19 @@ def read_bundles(index: DataFrame, folder: str, with_payload: bool = False) -> D
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = opened(folder)
         for batch in batches:
-            for bundle in batch.column(0).to_pylist():
+            for bundle, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 reader = BundleReader(files, f"{root}/{bundle}")
-                for number in range(len(reader.places)):
-                    data, at, out = reader.frame(number), 0, []
-                    while at < len(data):
-                        found, at = parsed(data, at)
-                        out.append([found[f] for f in fields])
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                for number, own in groupby(sorted((p["frame"], p["offset"]) for p in places), key=lambda p: p[0]):
+                    data = reader.frame(number)
+                    found = [parsed(data, offset)[0] for _, offset in own]
+                    yield pa.RecordBatch.from_arrays([pa.array([f[n] for f in found], k) for n, k in zip(fields, kinds)], names)
                 reader.close()
 
     schema = "page string, payload_bytes long, payload_digest string, record_type string, refers_to string" + ", url string, payload binary" * with_payload
-    return index.select("bundle").distinct().mapInArrow(read, schema)
+    run = F.floor(F.col("frame") / RUN).alias("run")
+    work = index.groupBy("bundle", run).agg(F.collect_list(F.struct("frame", "offset")).alias("places"))
+    count = index.select("bundle", run).distinct().count()
+    return work.select("bundle", "places").repartition(max(1, -(-count // RUNS))).mapInArrow(read, schema)
 
 
 def read_record(folder: str, bundle: str, frame: int, offset: int) -> dict:
