@@ -26,6 +26,9 @@ from stratalake.streaming.upsert import without_repeats
 BAD = {"yellow": {}, "fhv": {"PUlocationID": "case when event_id % 11 = 0 then 'x' else cast(user_id % 265 as varchar(9)) end"}}
 
 
+ROWS_OF = {"fillers": "filled_rows", "cast_failures": "failed_rows"}
+
+
 def quality_sql(name: str) -> str:
     feed, changed = ntz_feed(name), BAD[name]
     month = next(f"strftime(coalesce({n}, TIMESTAMP '1900-01-01 00:00:00'), '%Y%m')" for n in feed.schema.names if n.lower() == feed.pickup)
@@ -34,8 +37,8 @@ def quality_sql(name: str) -> str:
     flags["cast_failures"] = {c: f"{c} IS NOT NULL AND TRY_CAST({c} AS BIGINT) IS NULL" for c in changed}
     for check, tests in flags.items():
         checks += [f"SELECT NULL, '{c.lower()}', '{check}', count(*) FILTER ({test}) FROM raw" for c, test in tests.items()]
-        total = " + ".join(f"count(*) FILTER ({test})" for test in tests.values()) or "0"
-        checks.append(f"SELECT ano_mes, NULL, '{check}', {total} FROM raw GROUP BY ano_mes")
+        some = " OR ".join(f"({test})" for test in tests.values()) or "false"
+        checks.append(f"SELECT ano_mes, NULL, '{ROWS_OF[check]}', count(*) FILTER ({some}) FROM raw GROUP BY ano_mes")
     checks.append("SELECT ano_mes, NULL, 'collapsed', n - k FROM (SELECT ano_mes, count(*) AS n FROM raw GROUP BY 1) JOIN (SELECT ano_mes, count(*) AS k FROM kept GROUP BY 1) USING (ano_mes)")
     kept = silver_sql(name)  # the changed column is no key
     return f"""SELECT '{name}' AS feed, * FROM (WITH raw AS (SELECT *, {month} AS ano_mes FROM ({raw_sql(name, None, changed)})), kept AS ({kept})

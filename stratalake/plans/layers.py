@@ -11,7 +11,7 @@ from stratalake.fixed import YEAR_MONTH
 from stratalake.plans.gold import publish_gold, read_gold_monthly, read_gold_trips, to_gold
 from stratalake.plans.report import report
 from stratalake.plans.side_by_side import run_side_by_side
-from stratalake.plans.silver import COUNTS, optimize_silver, publish_counted_silver, read_silver
+from stratalake.plans.silver import COUNTS, optimize_silver, publish_counted_silver, publish_silver, read_silver
 from stratalake.sources.feeds import FEEDS, Feed
 from stratalake.sources.files import ingest_files, read_bronze
 from stratalake.sources.tables import changed_partitions, newest_parts, publish, register_views, versions
@@ -36,6 +36,7 @@ def run_layers(
     timestamp: str = "timestamp",
     scale: int | None = None,
     side_by_side: int = 4,
+    count_quality: bool = False,
 ) -> dict[str, DataFrame]:
     """Bring every layer below ``lake`` up to date with the landing files.
 
@@ -45,8 +46,9 @@ def run_layers(
     the same input twice changes nothing, so a run that was interrupted is
     completed by the next one. ``side_by_side`` feeds go to silver at a time. A
     feed that fails stops no other: what it has in silver stays, its progress
-    is not noted, and ``errors`` has its name and message. ``quality`` has what
-    was counted while silver was written, per feed and month. Returns the
+    is not noted, and ``errors`` has its name and message. With
+    ``count_quality``, ``quality`` has what was counted while silver was
+    written, per feed and month. Returns the
     layers, ``errors`` and ``quality``, also registered as SQL views of the
     same names.
     """
@@ -64,7 +66,10 @@ def run_layers(
         done, newest = _newest(spark, p["silver_done"]), _newest(spark, p["ledger"])
         if newest > done:
             bronze = read_bronze(spark, p["bronze"], p["ledger"], feed.schema, after=done)
-            counted[name] = publish_counted_silver(bronze, feed, p["silver"], as_of)
+            if count_quality:
+                counted[name] = publish_counted_silver(bronze, feed, p["silver"], as_of)
+            else:
+                publish_silver(bronze, feed, p["silver"], as_of)
             _mark(spark, p["silver_done"], newest)
         done = _newest(spark, p["gold_done"])
         return set(changed_partitions(spark, p["silver"], done))

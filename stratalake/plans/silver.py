@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from stratalake.fixed import FILLERS, INGESTED_AT, YEAR_MONTH
 from stratalake.functions.casting import safe_cast
-from stratalake.functions.dates import year_month
 from stratalake.functions.names import column, fresh_name, lookup
 from stratalake.operators.clean import standard_clean, upper_strings
 from stratalake.operators.dates import with_ingestion_time, with_year_month
@@ -56,55 +55,53 @@ def publish_silver(bronze: DataFrame, feed: Feed, path: str, as_of: object | Non
 
 # What is counted while silver is written.
 COUNTS = "ano_mes string, column_name string, check string, n bigint"
+MONTHS = 4096
 
 
 def publish_counted_silver(bronze: DataFrame, feed: Feed, path: str, as_of: object | None = None) -> list[tuple]:
     """As ``publish_silver``; returns rows ``(ano_mes, column_name, check, n)``, those with a count.
 
-    Per month there are ``rows`` (read), ``collapsed`` (gone as repeats of a
-    key), ``cast_failures`` and ``fillers`` (nulls that were filled), and the
-    last two per column as well, over all months. They are observed while the
-    cleaned rows are written to the shared folder, from where the upsert takes
-    them, so nothing is scanned for them; only the months are known before,
-    from the pickup column. A stage that is run again for a lost executor may
-    be counted twice: counts are for people, not for decisions.
+    Per column there are ``cast_failures`` and ``fillers`` (nulls that were
+    filled); per month ``rows`` (read), ``failed_rows`` and ``filled_rows`` (with
+    one of the former) and ``collapsed`` (gone as repeats of a key). They are
+    observed while the cleaned rows are written to the shared folder, from
+    where the upsert takes them, so nothing is scanned for them; counts per
+    month are histograms with a bin for every month, MONTHS at most. A stage
+    that is run again for a lost executor may be counted twice: counts are for
+    people, not for decisions.
     """
     spark = bronze.sparkSession
     raw = {f.name: lookup(bronze.columns, f.name) for f in feed.schema.fields}
     typed = {n: safe_cast(column(c), bronze.schema[c].dataType, feed.schema[n].dataType) for n, c in raw.items() if c is not None}
     pickup = next(n for n in feed.schema.names if n.lower() == feed.pickup)
     filler = F.lit(FILLERS["timestamp"]).cast(feed.schema[pickup].dataType)
-    month = year_month(F.coalesce(typed[pickup], filler)) if pickup in typed else year_month(filler)
-    months = [row[0] for row in bronze.select(month.alias("m")).distinct().orderBy("m").collect()]
-    if not months:
-        return []
+    moment = F.coalesce(typed[pickup], filler) if pickup in typed else filler
     flags: dict[tuple[str, str], Column] = {}
     for n, c in typed.items():
         if bronze.schema[raw[n]].dataType != feed.schema[n].dataType:
             flags[n.lower(), "cast_failures"] = column(raw[n]).isNotNull() & c.isNull()
         if not isinstance(feed.schema[n].dataType, T.LongType):
             flags[n.lower(), "fillers"] = c.isNull()
-    names = {check: fresh_name(bronze, check) for check in ("cast_failures", "fillers")}
-    per_row = {name: reduce(Column.__add__, [f.cast("int") for (_, own), f in flags.items() if own == check], F.lit(0)) for check, name in names.items()}
-    of = fresh_name(bronze, "month")
-    marked = bronze.withColumns({of: month, **per_row})
+    of, failed, filled = (fresh_name(bronze, n) for n in ("month", "failed", "filled"))
+    any_of = lambda check: reduce(Column.__or__, [f for (_, own), f in flags.items() if own == check], F.lit(False))
+    marked = bronze.withColumns({of: F.year(moment) * 100 + F.month(moment), failed: any_of("cast_failures"), filled: any_of("fillers")})
+    by_month = lambda test, month: F.histogram_numeric(F.when(test, month), F.lit(MONTHS))
     seen, kept = Observation(), Observation()
-    in_month = lambda i, c=1: F.sum(F.when(F.col(of) == months[i], c).otherwise(0))
     metrics = [F.count_if(f).alias(f"f{i}") for i, f in enumerate(flags.values())]
-    for i in range(len(months)):
-        metrics.append(in_month(i).alias(f"rows{i}"))
-        metrics += [in_month(i, F.col(name)).alias(f"{check}{i}") for check, name in names.items()]
+    tests = {"rows": F.lit(True), "failed_rows": F.col(failed), "filled_rows": F.col(filled)}
+    metrics += [by_month(test, F.col(of)).alias(check) for check, test in tests.items()]
     silver = to_silver(marked.observe(seen, *metrics), feed, as_of)
-    silver = silver.observe(kept, *[F.count_if(F.col(YEAR_MONTH) == m).alias(f"rows{i}") for i, m in enumerate(months)])
+    silver = silver.observe(kept, by_month(F.lit(True), F.col(YEAR_MONTH).cast("int")).alias("rows"))
     staged = shared_dir(spark, "silver")
     silver.write.parquet(staged)
     source = spark.read.schema(silver.schema).parquet(staged)
     upsert_partitions(source, path, YEAR_MONTH, feed.keys, source_unique=True, touched_by=source.select(YEAR_MONTH), derived_from=feed.pickup)
-    before, after = seen.get, kept.get
-    rows = [(None, name, check, before[f"f{i}"]) for i, (name, check) in enumerate(flags)]
-    for i, m in enumerate(months):
-        rows += [(m, None, check, before[f"{check}{i}"]) for check in ("rows", *names)]
-        rows.append((m, None, "collapsed", before[f"rows{i}"] - after[f"rows{i}"]))
+    counts = seen.get
+    bins = lambda found: {f"{int(b.x):06d}": int(b.y) for b in found or []}
+    read, left = bins(counts["rows"]), bins(kept.get["rows"])
+    rows = [(None, name, check, counts[f"f{i}"]) for i, (name, check) in enumerate(flags)]
+    rows += [(m, None, check, n) for check in tests for m, n in sorted(bins(counts[check]).items())]
+    rows += [(m, None, "collapsed", n - left.get(m, 0)) for m, n in sorted(read.items())]
     return [r for r in rows if r[-1]]
 
 

@@ -52,9 +52,9 @@ def test_counts_of_the_silver_write(spark, tmp_path):
     assert got == {
         (None, "dispatching_base_num", "fillers"): 1, (None, "pickup_datetime", "fillers"): 1, (None, "dropoff_datetime", "fillers"): 2,
         (None, "affiliated_base_number", "fillers"): 1, (None, "pulocationid", "cast_failures"): 1, (None, "dolocationid", "cast_failures"): 1,
-        ("190001", None, "rows"): 1, ("190001", None, "fillers"): 1, ("202305", None, "rows"): 2, ("202305", None, "fillers"): 3,
-        ("202305", None, "cast_failures"): 1, ("202305", None, "collapsed"): 1, ("202306", None, "rows"): 1, ("202306", None, "fillers"): 1,
-        ("202306", None, "cast_failures"): 1,
+        ("190001", None, "rows"): 1, ("190001", None, "filled_rows"): 1, ("202305", None, "rows"): 2, ("202305", None, "filled_rows"): 2,
+        ("202305", None, "failed_rows"): 1, ("202305", None, "collapsed"): 1, ("202306", None, "rows"): 1, ("202306", None, "filled_rows"): 1,
+        ("202306", None, "failed_rows"): 1,
     }
     assert rows(read_silver(spark, feed, path)) == rows(to_silver(bronze, feed, "2024-01-01 00:00:00"))
     assert publish_counted_silver(bronze.filter("SR_Flag = 9"), feed, path) == []
