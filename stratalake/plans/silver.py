@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -66,7 +67,7 @@ def publish_counted_silver(bronze: DataFrame, feed: Feed, path: str, as_of: obje
     one of the former) and ``collapsed`` (gone as repeats of a key). They are
     observed while the cleaned rows are written to the shared folder, from
     where the upsert takes them, so nothing is scanned for them; counts per
-    month are histograms with a bin for every month, MONTHS at most. A stage
+    month are histograms with a bin for every month, exact up to MONTHS months. A stage
     that is run again for a lost executor may be counted twice: counts are for
     people, not for decisions.
     """
@@ -97,7 +98,13 @@ def publish_counted_silver(bronze: DataFrame, feed: Feed, path: str, as_of: obje
     source = spark.read.schema(silver.schema).parquet(staged)
     upsert_partitions(source, path, YEAR_MONTH, feed.keys, source_unique=True, touched_by=source.select(YEAR_MONTH), derived_from=feed.pickup)
     counts = seen.get
-    bins = lambda found: {f"{int(b.x):06d}": int(b.y) for b in found or []}
+
+    def bins(found: list | None) -> Counter:
+        out: Counter = Counter()
+        for b in found or []:  # tasks' bins of one month stay apart when they are merged
+            out[f"{int(b.x):06d}"] += int(b.y)
+        return out
+
     read, left = bins(counts["rows"]), bins(kept.get["rows"])
     rows = [(None, name, check, counts[f"f{i}"]) for i, (name, check) in enumerate(flags)]
     rows += [(m, None, check, n) for check in tests for m, n in sorted(bins(counts[check]).items())]
