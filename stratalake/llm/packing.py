@@ -1,15 +1,19 @@
 """Packing of token sequences by non-negative least squares over a length histogram.
 
 Every document's ids (and an end id) are cut at multiples of the window; a cut leaves full windows and one remainder.
-Piece lengths are rounded up to bins. All combinations of up to DEPTH bins that fill the window exactly are the columns
-of a matrix; non-negative least squares finds how often to use each so that together they use up the histogram. The
-counts are rounded down to what the bins hold. The k-th piece of a bin then belongs to the combination, and to the
-repetition of it, whose share of the bin covers k; what is left is packed best fit, longest first, in groups of bounded
-size. Only the histogram (one row per bin) reaches the driver, and the plan it sends back has a row per bin of each used
-combination at most; ranks within a bin come from shard counts, so no task holds a whole bin.
+Piece lengths are rounded up to at most 256 bins, narrow where lengths are frequent. All combinations of up to DEPTH bins
+that fill the window (all but 1/257 of it) are the columns of a matrix; non-negative least squares finds how often to use
+each so that together they use up the histogram. Combinations of more pieces come in one at a time, each the steepest for
+what the solution so far leaves, found by a bounded knapsack: short pieces take part like long ones. The counts are rounded
+to what the bins hold, and what is left is solved again. The k-th piece of a bin then belongs to the combination, and to the
+repetition of it, whose share of the bin covers k; the odd rest is packed best fit, longest first, in groups of bounded
+size. Only the histogram (one row per length up to the window) reaches the driver, and the plan it sends back has a row per
+bin of each used combination at most; ranks within a bin come from shard counts, so no task holds a whole bin, nor all of
+many identical rows.
 
 Defined results: a null or empty text is one piece with the end id alone; ids may repeat, each row is packed by itself;
-an empty table gives no rows; columns other than the id and the text are neither read nor returned.
+very long texts are encoded whole and
+cut into windows; an empty table gives no rows; columns other than the id and the text are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -30,7 +34,8 @@ from stratalake.llm.bpe import byte_letters
 from stratalake.llm.common import written
 
 WINDOW, END = 4096, 2
-BIN, DEPTH = 16, 3
+#: Bins of lengths; depth of the enumerated combinations; share of the tokens that a solution may leave; rounds of solving.
+BINS, DEPTH, CLOSE, ROUNDS = 256, 3, 0.005, 8
 #: Pieces in one shard of a bin, and in one group of the greedy rest.
 SHARD = 50_000
 #: Words in a worker's cache.
@@ -143,27 +148,75 @@ def token_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     return chosen.mapInArrow(cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long{more}")
 
 
-def combinations(bins: int, depth: int = DEPTH) -> list[tuple[int, ...]]:
-    """All non-descending tuples of at most ``depth`` bins whose sum is ``bins``."""
+def bin_sizes(histogram: np.ndarray, most: int = BINS) -> np.ndarray:
+    """The bin of each length, as the largest length in it: at most ``most`` bins, narrow where many pieces are (the square
+    root of the density, which keeps the sum of what is rounded up least)."""
+    weight = np.sqrt(histogram)
+    if np.count_nonzero(histogram) <= most:
+        return np.where(histogram > 0, np.arange(len(histogram)), 0)
+    number = np.minimum((np.cumsum(weight) - weight) * (most - 1) // weight.sum(), most - 1).astype(int)
+    number[-1] = most  # whole windows are a bin of their own
+    present = np.flatnonzero(histogram)
+    largest = np.zeros(most + 1, np.int64)
+    np.maximum.at(largest, number[present], present)
+    return np.where(histogram > 0, largest[number], 0)
 
-    def below(left: int, least: int, more: int) -> Iterator[tuple[int, ...]]:
-        if left >= least:
-            yield (left,)
-        if more > 1:
-            for first in range(least, left // 2 + 1):
-                for rest in below(left - first, first, more - 1):
-                    yield (first, *rest)
-
-    return list(below(bins, 1, depth))
 
+def combinations(sizes: np.ndarray, least: int, window: int, depth: int = DEPTH) -> list[tuple[int, ...]]:
+    """All non-descending tuples of at most ``depth`` of the (ascending) sizes whose sum is from ``least`` to ``window``."""
 
-def least_squares(matrix: np.ndarray, target: np.ndarray) -> np.ndarray:
+    def below(low: int, high: int, first: int, more: int) -> Iterator[tuple[int, ...]]:
+        ends = sizes[max(first, int(np.searchsorted(sizes, low))) : int(np.searchsorted(sizes, high, "right"))]
+        yield from ((int(n),) for n in ends)
+        if more > 1:
+            for i in range(first, int(np.searchsorted(sizes, high // 2, "right"))):
+                n = int(sizes[i])
+                for rest in below(low - n, high - n, i, more - 1):
+                    yield (n, *rest)
+
+    return list(below(least, window, 0, depth))
+
+
+def best_combination(worth: np.ndarray, sizes: np.ndarray, counts: np.ndarray, least: int, window: int) -> np.ndarray | None:
+    """How many pieces of each size to take, at most ``counts``, for the greatest sum of ``worth`` among all combinations of
+    any depth with ``least`` to ``window`` tokens: a bounded knapsack, the counts split into powers of two."""
+    items = []
+    for i, (size, count) in enumerate(zip(sizes.tolist(), np.minimum(counts, window // sizes).tolist())):
+        some = 1
+        while count > 0:
+            some = min(some, count)
+            items.append((i, some, some * size, some * float(worth[i])))
+            count, some = count - some, 2 * some
+    best = np.full(window + 1, -np.inf)
+    best[0] = 0.0
+    taken = np.zeros((len(items), window + 1), bool)
+    for at, (_, _, size, gain) in enumerate(items):
+        if size <= window:
+            more = best[:-size] + gain
+            np.greater(more, best[size:], out=taken[at, size:])
+            np.maximum(more, best[size:], out=best[size:])
+    room = least + int(np.argmax(best[least:]))
+    if not np.isfinite(best[room]):
+        return None
+    chosen = np.zeros(len(sizes), np.int64)
+    for at in range(len(items) - 1, -1, -1):
+        if taken[at, room]:
+            chosen[items[at][0]] += items[at][1]
+            room -= items[at][2]
+    return chosen
+
+
+def least_squares(matrix: np.ndarray, target: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
     """x >= 0 with the least |matrix x - target|, by active sets: at most one positive entry for each row of the matrix,
-    so the entries are large enough to be rounded."""
+    so the entries are large enough to be rounded. ``start`` is the solution over the first columns of the matrix."""
     x, active = np.zeros(matrix.shape[1]), np.zeros(matrix.shape[1], bool)
+    if start is not None:
+        x[: len(start)] = start
+        active[: len(start)] = start > 0
     slack = 1e-9 * max(1.0, float(target.max(initial=0)))
     for _ in range(3 * len(target)):
-        slope = matrix.T @ (target - matrix @ x)
+        own = np.flatnonzero(active)
+        slope = matrix.T @ (target - matrix[:, own] @ x[own])
         slope[active] = -np.inf
         enter = int(np.argmax(slope))
         if slope[enter] <= slack:
@@ -171,7 +224,7 @@ def least_squares(matrix: np.ndarray, target: np.ndarray) -> np.ndarray:
         active[enter] = True
         while True:
             own = np.flatnonzero(active)
-            best = np.linalg.lstsq(matrix[:, own], target, rcond=None)[0]
+            best = fitted(matrix[:, own], target)
             if (best > slack).all():
                 break
             low = best <= slack  # go only as far as no entry turns negative
@@ -188,34 +241,93 @@ def least_squares(matrix: np.ndarray, target: np.ndarray) -> np.ndarray:
     return x
 
 
-def repeats(histogram: np.ndarray, shapes: list[tuple[int, ...]]) -> np.ndarray:
-    """How often to use each combination: least squares, rounded, and never more than the bins hold."""
-    matrix = np.zeros((len(histogram), len(shapes)))
-    for j, shape in enumerate(shapes):
-        np.add.at(matrix[:, j], list(shape), 1)
-    wanted = least_squares(matrix, histogram.astype(float))
-    left, used = histogram.copy(), np.zeros(len(shapes), np.int64)
-    for j in np.argsort(-wanted, kind="stable"):
-        need = np.unique(shapes[j], return_counts=True)
-        used[j] = min(int(np.rint(wanted[j])), int((left[need[0]] // need[1]).min()))
-        left[need[0]] -= used[j] * need[1]
-    return used
+def fitted(matrix: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Least squares without bounds, by the normal equations where these can be solved."""
+    square = matrix.T @ matrix
+    try:
+        best = np.linalg.solve(square, matrix.T @ target)
+    except np.linalg.LinAlgError:
+        best = np.array([np.nan])
+    residual = matrix.T @ (target - matrix @ best) if np.isfinite(best).all() else np.array([np.inf])
+    if np.abs(residual).max(initial=0) > 1e-6 * max(1.0, float(np.abs(target).max(initial=0))):
+        return np.linalg.lstsq(matrix, target, rcond=None)[0]
+    return best
+
+
+def repeats(sizes: np.ndarray, counts: np.ndarray, window: int) -> list[tuple[tuple[int, ...], int]]:
+    """Combinations of sizes and how often to use each, never more than ``counts`` allow.
+
+    Shallow combinations are enumerated; deeper ones join them one at a time, each the best for what the solution so far
+    leaves over (the steepest column of least squares). The solution is rounded, and what it leaves is solved anew until
+    hardly anything can be added."""
+    least, left, out = window - window // (BINS + 1), counts.copy(), []
+    shallow = combinations(sizes, least, window)
+    for _ in range(ROUNDS):
+        own = np.flatnonzero(left)
+        if not len(own):
+            break
+        index = {int(n): i for i, n in enumerate(sizes[own])}
+        held, target = left[own], left[own].astype(float)
+        columns = []
+        for shape in shallow:
+            if all(n in index for n in shape):
+                column_ = np.bincount([index[n] for n in shape], minlength=len(own))
+                if (column_ <= held).all():
+                    columns.append(column_)
+        matrix = np.array(columns, float).reshape(-1, len(own)).T
+        x = least_squares(matrix, target) if columns else np.zeros(0)
+        for _ in range(2 * len(own)):
+            matrix, x = matrix[:, x > 0], x[x > 0]  # the knapsack finds the others again
+            residual = target - matrix @ x
+            if np.abs(residual) @ sizes[own] <= CLOSE * (held @ sizes[own]):
+                break
+            deeper = best_combination(residual, sizes[own], held, least, window)
+            if deeper is None or deeper @ residual <= 1e-6 * max(1.0, float(target.max())):
+                break
+            matrix = np.hstack([matrix, deeper[:, None].astype(float)])
+            x = least_squares(matrix, target, x)
+        before = left.sum()
+        for j in np.argsort(-x, kind="stable").tolist():
+            if x[j] <= 0:
+                break
+            need = matrix[:, j].astype(np.int64)
+            some = np.flatnonzero(need)
+            n = min(max(1, int(np.rint(x[j]))), int((left[own][some] // need[some]).min()))
+            if n:
+                left[own[some]] -= n * need[some]
+                out.append((tuple(np.repeat(sizes[own[some]], need[some]).tolist()), n))
+        if before - left.sum() <= CLOSE * counts.sum():
+            break
+    return out
 
 
-def plan_rows(histogram: np.ndarray, bins: int) -> tuple[list[tuple], int]:
+def plan_rows(histogram: np.ndarray, window: int) -> tuple[list[tuple], int]:
     """``(bin, low, high, first, position, depth)``: pieces low..high-1 of the bin are at ``position`` of the sequences
-    first, first+1, ...; and the number of planned sequences."""
-    shapes = combinations(bins)
+    first, first+1, ...; and the number of planned sequences. A bin is named by the largest length in it."""
+    counts = np.bincount(bin_sizes(histogram), histogram, len(histogram)).astype(np.int64)
+    counts[0] = 0
+    sizes = np.flatnonzero(counts)
     taken, sequences, rows = np.zeros(len(histogram), np.int64), 0, []
-    for j, n in enumerate(repeats(histogram, shapes).tolist()):
-        if n:
-            for position, b in enumerate(shapes[j]):
-                rows.append((b, int(taken[b]), int(taken[b]) + n, sequences, position, len(shapes[j])))
-                taken[b] += n
-            sequences += n
+    for shape, n in repeats(sizes, counts[sizes], window):
+        for position, b in enumerate(shape):
+            rows.append((b, int(taken[b]), int(taken[b]) + n, sequences, position, len(shape)))
+            taken[b] += n
+        sequences += n
     return rows, sequences
 
 
+def runs(rows: list[tuple]) -> list[tuple]:
+    """Rows of a plan, ``(bin, low, high, first, position, depth, times)``: those of one bin in one combination together;
+    piece k of a run is in sequence first + (k - low) % times."""
+    out: list[tuple] = []
+    for b, low, high, first, position, depth in rows:
+        if out and out[-1][0] == b and out[-1][2] == low and out[-1][3] == first:
+            out[-1] = (*out[-1][:2], high, *out[-1][3:])
+        else:
+            out.append((b, low, high, first, position, depth, high - low))
+    return out
+
+
 def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int]]:
     """The sequence and offset of each length, placed in the given order where it leaves the least room."""
     rooms: dict[int, list[int]] = {}
@@ -245,36 +357,51 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     Wants a written table, which it reads several times.
     """
     spark: SparkSession = pieces.sparkSession
-    bins = window // BIN
     names = [c for c in pieces.columns]
-    binned = pieces.withColumn("_bin", F.ceil(F.col("length") / F.lit(BIN)).cast("int"))
-    histogram = np.zeros(bins + 1, np.int64)
-    for row in binned.groupBy("_bin").count().collect():
+    histogram = np.zeros(window + 1, np.int64)
+    for row in pieces.groupBy("length").count().collect():
         histogram[row[0]] = row[1]
     shards = int(histogram.sum()) // SHARD + 1
-    rows, planned = plan_rows(histogram, bins)
-    plan = spark.createDataFrame(rows, "_bin int, _low long, _high long, _first long, _position int, _depth int")
-
-    sharded = binned.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shards)).cast("int"))
+    rows, planned = plan_rows(histogram, window)
+    plan = spark.createDataFrame(runs(rows), "_bin int, _low long, _high long, _first long, _position long, _depth int, _times long")
+    bins = bin_sizes(histogram)
+    bin_of = spark.createDataFrame([(n, int(bins[n])) for n in np.flatnonzero(histogram).tolist()], "_length long, _bin int")
+
+    # the row number deals identical rows to all shards; the written table gives the same numbers every time
+    shard = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(shards)).cast("int")
+    sharded = pieces.withColumn("_shard", shard if shards > 1 else F.lit(0))
+    sharded = sharded.join(F.broadcast(bin_of), F.col("length") == F.col("_length")).drop("_length")
     before = Window.partitionBy("_bin").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
     heads = sharded.groupBy("_bin", "_shard").count().select("_bin", "_shard", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_head"))
     order = Window.partitionBy("_bin", "_shard").orderBy("doc_id", "start", "ids_crc32")
     ranked = sharded.withColumn("_rank", F.row_number().over(order) - 1).join(heads, ["_bin", "_shard"])
     ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_head"))
     inside = (ranked["_bin"] == plan["_bin"]) & (ranked["_rank"] >= plan["_low"]) & (ranked["_rank"] < plan["_high"])
-    placed = written(ranked.join(F.broadcast(plan), inside, "left").select(*names, ranked["_bin"], "_rank", (F.col("_first") + F.col("_rank") - F.col("_low")).alias("sequence_id"), "_position", "_depth"), "packing")
+    nth = F.col("_rank") - F.col("_low")
+    placed = written(
+        ranked.join(F.broadcast(plan), inside, "left").select(
+            *names, ranked["_bin"], "_rank", (F.col("_first") + nth % F.col("_times")).alias("sequence_id"),
+            (F.col("_position") + F.floor(nth / F.col("_times"))).alias("_position"), "_depth",
+        ),
+        "packing",
+    )
 
     alone = placed.filter("_depth = 1").select(*names, "sequence_id", F.lit(0).cast("long").alias("offset"))
     left_of = Window.partitionBy("sequence_id").orderBy("_position").rowsBetween(Window.unboundedPreceding, -1)
     joint = placed.filter("_depth > 1").select(*names, "sequence_id", F.coalesce(F.sum("length").over(left_of), F.lit(0)).alias("offset"))
     # the plan takes the first ranks of each bin; the others are numbered on from bin to bin, and dealt out in turn
-    used = np.zeros(bins + 1, np.int64)
+    used: dict[int, int] = {}
     for row in rows:
-        used[row[0]] = max(used[row[0]], row[2])
-    left = histogram - used
-    before_bin = F.array(*(F.lit(int(n)) for n in np.cumsum(left) - left - used))
-    groups = int(left.sum()) // SHARD + 1
-    rest = placed.filter("_depth is null").select(*names, F.pmod(F.element_at(before_bin, F.col("_bin") + 1) + F.col("_rank"), F.lit(groups)).cast("long").alias("_group"))
+        used[row[0]] = max(used.get(row[0], 0), row[2])
+    held = np.bincount(bins, histogram, window + 1).astype(np.int64)
+    left, shifts = 0, []
+    for b in np.unique(bins[histogram > 0]).tolist():
+        shifts.append((b, left - used.get(b, 0)))
+        left += int(held[b]) - used.get(b, 0)
+    groups = left // SHARD + 1
+    shift = spark.createDataFrame(shifts, "_bin int, _shift long")
+    rest = placed.filter("_depth is null").join(F.broadcast(shift), "_bin")
+    rest = rest.select(*names, F.pmod(F.col("_shift") + F.col("_rank"), F.lit(groups)).cast("long").alias("_group"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields) + ", sequence_id long, offset long"
 
     def greedy(key: tuple, table: pa.Table) -> pa.Table:

@@ -140,6 +140,49 @@ def test_packing_plan():
     assert places == [0, 0, 1, 1, 1, 1] and offsets == [0, 3000, 0, 2000, 4000, 4090]
 
 
+@pytest.mark.parametrize("kind, least", [("short", 0.98), ("mixed", 0.98), ("few", 0.95)])
+def test_packing_plans_nearly_all(kind, least):
+    """Short pieces take part in the plan like long ones, in combinations of as many pieces as are needed."""
+    random_ = np.random.default_rng(4)
+    lengths = random_.integers(5, 601, 50_000) if kind == "short" else np.minimum(4096, random_.lognormal(6.2, 1.2, 20_000 if kind == "mixed" else 4_000).astype(int) + 1)
+    histogram = np.bincount(lengths, minlength=4097)
+    rows, sequences = packing.plan_rows(histogram, 4096)
+    held = np.bincount(packing.bin_sizes(histogram), histogram, 4097)
+    used, sums = np.zeros(4097, int), np.zeros(sequences, int)
+    for b, low, high, first, position, depth in rows:
+        assert low == used[b]
+        used[b] = high
+        sums[first : first + high - low] += b
+    assert (used <= held).all() and (sums <= 4096).all() and (sums >= 4096 - 15).all()
+    assert used.sum() >= least * len(lengths)
+    assert sum(high - low for _, low, high, *_ in packing.runs(rows)) == used.sum()
+
+
+def test_best_combination_is_the_best():
+    random_ = np.random.default_rng(8)
+    for _ in range(40):
+        sizes, window = np.sort(random_.choice(np.arange(1, 20), 4, replace=False)), 30
+        counts, worth = random_.integers(0, 4, 4), random_.normal(0, 3, 4)
+        every = [np.array(c) for c in np.ndindex(*(counts + 1)) if 28 <= np.dot(c, sizes) <= window]
+        got = packing.best_combination(worth, sizes, counts, 28, window)
+        assert (got is None) == (not every)
+        if every:
+            assert (got <= counts).all() and 28 <= got @ sizes <= window and np.isclose(got @ worth, max(c @ worth for c in every))
+
+
+def test_packing_ranks_identical_rows_in_shards(spark, monkeypatch):
+    """Rows that are alike in every column are planned and packed like others, whatever shard they are ranked in."""
+    monkeypatch.setattr(packing, "SHARD", 40)
+    pieces = spark.range(1000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.when(F.col("id") < 700, 300).otherwise(F.col("id") + 2000).alias("length"), F.lit(5).cast("long").alias("ids_crc32"))
+    got = packing.pack_pieces(written(pieces.repartition(4), "alike"), 4096).collect()
+    spans = {}
+    for r in got:
+        spans.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(r.length for r in got) == sorted([300] * 700 + list(range(2700, 3000)))
+    for own in spans.values():
+        assert [o for o, _ in sorted(own)] == np.cumsum([0, *(n for _, n in sorted(own))])[:-1].tolist() and sum(n for _, n in own) <= 4096
+
+
 def test_packing_pads_little(spark):
     docs = spark.createDataFrame([(i, prose(RANDOM.randint(1, 500))) for i in range(700)], "doc_id long, text string")
     got = packing.pack_documents(docs, WORD).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
