@@ -1,8 +1,8 @@
 """Packing of token sequences by non-negative least squares over a length histogram.
 
 Every document's ids (and an end id) are cut at multiples of the window; a cut leaves full windows and one remainder.
-Piece lengths are rounded up to at most 256 bins, narrow where lengths are frequent. All combinations of up to DEPTH bins
-that fill the window (all but 1/257 of it) are the columns of a matrix; non-negative least squares finds how often to use
+Piece lengths are rounded up to at most 384 bins, narrow where lengths are frequent. All combinations of up to DEPTH bins
+that fill the window (all but 1/1024 of it at most) are the columns of a matrix; non-negative least squares finds how often to use
 each so that together they use up the histogram. Combinations of more pieces come in one at a time, each the steepest for
 what the solution so far leaves, found by a bounded knapsack: short pieces take part like long ones. The counts are rounded
 to what the bins hold, and what is left is solved again. The k-th piece of a bin then belongs to the combination, and to the
@@ -35,7 +35,7 @@ from stratalake.llm.common import written
 
 WINDOW, END = 4096, 2
 #: Bins of lengths; depth of the enumerated combinations; share of the tokens that a solution may leave; rounds of solving.
-BINS, DEPTH, CLOSE, ROUNDS = 256, 3, 0.005, 8
+BINS, DEPTH, CLOSE, ROUNDS = 384, 3, 0.01, 8
 #: Pieces in one shard of a bin, and in one group of the greedy rest.
 SHARD = 50_000
 #: Words in a worker's cache.
@@ -260,7 +260,7 @@ def repeats(sizes: np.ndarray, counts: np.ndarray, window: int) -> list[tuple[tu
     Shallow combinations are enumerated; deeper ones join them one at a time, each the best for what the solution so far
     leaves over (the steepest column of least squares). The solution is rounded, and what it leaves is solved anew until
     hardly anything can be added."""
-    least, left, out = window - window // (BINS + 1), counts.copy(), []
+    least, left, out = window - window // 1024, counts.copy(), []
     shallow = combinations(sizes, least, window)
     for _ in range(ROUNDS):
         own = np.flatnonzero(left)
