@@ -8,16 +8,20 @@ of the next band. p exceeds d by more than the number of empty parts to be expec
 empty part is sure as long as one of both sets has fewer than p - d empty parts. A set with more also gives the symbols
 of its empty parts. Linked pairs therefore meet in an equal symbol.
 
-Steps: (1) one pass finds the symbols that more than one set has. Each task sends its symbols to buckets, each once or
-twice, packed; what comes back is a Bloom filter of fixed size. (2) A second pass emits symbols that pass the filter, of
-sets that have at least as many of them as a linked pair must share, and these sets. (3) Symbols are grouped. In groups
+Steps: (1) A pass cuts the sets of a task into blocks and sends the block's symbols to buckets, packed: a symbol that one
+set of the block has goes with the set's number, one that several have goes once and without. A bucket answers which of
+them other blocks sent as well, and the answers meet again by block: a set whose shared symbols are as many as a linked
+pair must share stays, with its shared symbols, and no other does. Nothing of this is of a fixed size, so sets drop out at
+every size of the corpus alike. (2) A second pass gives the whole sets that stayed. It knows them by a Bloom filter of
+fixed size: one that fills lets whole sets pass that nothing asks for, one row a set at most. (3) Symbols are grouped. In groups
 up to GROUP all pairs are candidates, in larger ones all pairs with the first member. (4) Candidates are dropped where
 the Hamming distance of their bit sketches (parities of elements per bit, again a lower bound of the difference) is too
 large, and the others are verified by their whole sets. (5) Links give components. Larger groups that still hold several
 components are put together by their first member and compared block by block, sets of different components only, by the
 same bounds; what is found is verified and joined to the components. No link between different sets is lost, and equal sets are one node from the start.
 
-Elements and sets are hashed to 64 bits.
+Elements and sets are hashed to 64 bits. Blocks follow the order of rows in a task, so the input should be a table or a
+plan that gives each task the same rows in the same order when it runs again.
 
 Defined results: null texts, empty texts and texts without words have no shingles and are linked with nothing; a text
 with fewer words than n is one shingle; rows that share an id are one document if their sets are equal and otherwise
@@ -40,8 +44,10 @@ from stratalake.llm.components import connected, joined
 
 WORDS, PERCENT = 5, 75
 BLOCK = 2_000_000
-#: Bits of the filter of shared symbols; symbols per bucket it is made from; symbols a task sends at a time.
-FILTER_BITS, BUCKET, SEND = 1 << 27, 1_000_000, 1_000_000
+#: Symbols of a bucket, symbols and sets of a block; the number that stands for several sets of a block.
+BUCKET, SEND, SETS, SEVERAL = 1_000_000, 1_000_000, 32_000, 65_535
+#: Bits of the filter of sets that stay, and the slices it is made in.
+FILTER_BITS, SLICES = 1 << 27, 64
 #: Largest group whose pairs are all candidates; members of a block in the comparison of larger groups.
 GROUP, MEMBERS = 16, 1024
 #: Closest candidates of each member in the first comparison of larger groups; the second one takes all.
@@ -159,16 +165,20 @@ def folded(sketch: np.ndarray, words: int) -> np.ndarray:
     return sketch
 
 
-def filter_places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    h = mixed(keys ^ U64(0x5851F42D4C957F2D))
-    return (h & U64(bits - 1)).astype(np.int64), (h >> U64(32) & U64(bits - 1)).astype(np.int64)
+def packed_sorted(values: np.ndarray) -> bytes:
+    """Ascending 32-bit values as differences, byte plane after byte plane: the planes of high bytes are nearly empty."""
+    steps = np.diff(values, prepend=np.uint32(0))
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def short(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and 32 more bits of a symbol: what the filter knows of it."""
-    shift = U64(64 - (buckets - 1).bit_length()) if buckets > 1 else U64(63)
-    bucket = (keys >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(keys), np.int64)
-    return bucket, (keys & U64(0xFFFFFFFF)).astype(np.uint32)
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32)
+
+
+def short(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket (the highest bits) and 32 more bits of a symbol, in one number. Buckets are a power of two, two at least."""
+    return keys >> U64(64 - (buckets - 1).bit_length()) << U64(32) | keys & U64(0xFFFFFFFF)
 
 
 def new_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, int, bool]]:
@@ -188,114 +198,210 @@ def new_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Rec
                 yield batch, row, end, own, key, fresh
 
 
-def shared_filter(texts: DataFrame, n: int, percent: int) -> tuple[np.ndarray, int]:
-    """Bits that are set for all symbols of more than one set, in slices by bucket, and the number of buckets."""
+class Block:
+    """Sets of a task whose symbols are sent together."""
+
+    def __init__(self) -> None:
+        self.nodes: list[int] = []
+        self.sizes: list[int] = []
+        self.sure: list[int] = []  # two for each set, one for each of its bands
+        self.numbers: list[np.ndarray] = []
+        self.symbols: list[np.ndarray] = []
+        self.count = 0
+
+    def add(self, key: int, own: np.ndarray, bands: Bands, buckets: int) -> None:
+        first = 2 * len(self.nodes)
+        self.nodes.append(key)
+        self.sizes.append(len(own))
+        self.sure += [0, 0]
+        for number, (symbols, sure) in enumerate(bands.symbols(own), first):
+            self.sure[number] = sure
+            self.numbers.append(np.full(len(symbols), number, np.uint16))
+            self.symbols.append(short(symbols, buckets))
+            self.count += len(symbols)
+
+    def full(self) -> bool:
+        return self.count >= SEND or len(self.nodes) >= SETS
+
+    def messages(self, buckets: int) -> list[tuple[int, int, int, bytes, bytes]]:
+        """Rows ``block, kind, bucket, numbers, symbols`` of the kinds ASK, KNOWN and STATE."""
+        if not self.symbols:
+            return []
+        symbols, numbers = np.concatenate(self.symbols), np.concatenate(self.numbers)
+        order = np.argsort(symbols, kind="stable")
+        symbols, numbers = symbols[order], numbers[order]
+        nodes = np.array(self.nodes, np.int64)
+        block = int(mixed(mixed(nodes.view(U64) + mixed(np.arange(len(nodes), dtype=U64))).sum(keepdims=True)).view(np.int64)[0])
+        home = block & (buckets - 1)
+        state = np.array([self.sizes, self.sure[0::2], self.sure[1::2]], np.int64)
+        out = [(block, STATE, home, nodes.tobytes(), state.tobytes())]
+        new = np.concatenate([[True], symbols[1:] != symbols[:-1]])
+        several = np.diff(np.append(np.flatnonzero(new), len(new))) > 1
+        mine = np.repeat(several, np.diff(np.append(np.flatnonzero(new), len(new))))
+        if mine.any():
+            out.append((block, KNOWN, home, numbers[mine].tobytes(), symbols[mine].tobytes()))
+        symbols, numbers = symbols[new], np.where(several, np.uint16(SEVERAL), numbers[new])
+        bounds = np.searchsorted(symbols, np.arange(buckets + 1, dtype=U64) << U64(32)) if buckets <= len(symbols) else None
+        if bounds is None:  # few symbols for many buckets
+            bucket, starts = np.unique(symbols >> U64(32), return_index=True)
+            spans = zip(bucket.tolist(), starts.tolist(), np.append(starts[1:], len(symbols)).tolist())
+        else:
+            spans = ((b, bounds[b], bounds[b + 1]) for b in np.flatnonzero(np.diff(bounds)).tolist())
+        low = (symbols & U64(0xFFFFFFFF)).astype(np.uint32)
+        return out + [(block, ASK, b, numbers[i:j].tobytes(), packed_sorted(low[i:j])) for b, i, j in spans]
+
+
+#: Kinds of messages: symbols to be looked up (and looked-up ones); symbols that several sets of the block have; its sets.
+ASK, KNOWN, STATE = 0, 1, 2
+MESSAGE = "block long, kind int, bucket long, numbers binary, symbols binary"
+
+
+def messages(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.nulls(0, k) for k in kinds]
+    return pa.RecordBatch.from_arrays(columns, ["block", "kind", "bucket", "numbers", "symbols"])
+
+
+def answers(asked: list[tuple]) -> list[tuple]:
+    """Of the questions of one bucket, those symbols that another block sent too, or that several sets of one block have."""
+    low = [unpacked_sorted(row[4]) for row in asked]
+    numbers = [np.frombuffer(row[3], np.uint16) for row in asked]
+    every = np.concatenate(low)
+    order = np.argsort(every, kind="stable")
+    same = every[order][1:] == every[order][:-1]
+    shared = np.zeros(len(every), bool)
+    shared[order[1:][same]] = True
+    shared[order[:-1][same]] = True
+    out, at = [], 0
+    for row, values, own in zip(asked, low, numbers):
+        keep = shared[at : at + len(values)] & (own != SEVERAL)  # those of several sets are known to be shared
+        at += len(values)
+        if keep.any():
+            out.append((row[0], ASK, row[2], own[keep].tobytes(), packed_sorted(values[keep])))
+    return out
+
+
+def staying(rows: list[tuple], buckets: int) -> list[np.ndarray]:
+    """``node, size, symbol`` of the shared symbols of a block, of sets that have enough of them for a linked pair."""
+    state = [row for row in rows if row[1] == STATE][0]
+    nodes, (sizes, *sure) = np.frombuffer(state[3], np.int64), np.frombuffer(state[4], np.int64).reshape(3, -1)
+    numbers, symbols = [], []
+    for block, kind, bucket, own, values in set(rows):
+        if kind == KNOWN:
+            numbers.append(np.frombuffer(own, np.uint16))
+            symbols.append(np.frombuffer(values, U64))
+        elif kind == ASK:
+            numbers.append(np.frombuffer(own, np.uint16))
+            symbols.append(U64(bucket << 32) | unpacked_sorted(values).astype(U64))
+    if not numbers:
+        return [np.zeros(0, np.int64)] * 3
+    number, symbol = np.concatenate(numbers), np.concatenate(symbols)
+    enough = np.bincount(number, minlength=2 * len(nodes)) >= np.stack(sure, 1).ravel()
+    number, symbol = number[enough[number]], symbol[enough[number]]
+    return [nodes[number >> 1], sizes[number >> 1], symbol.view(np.int64)]
+
+
+def shared_symbols(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """A table ``node, size, symbol``: the symbols that more than one set has, of the sets with enough of them."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 << min(20, max(5, int(size // 6 // BUCKET).bit_length()))
-    slice_bits = FILTER_BITS // buckets
     bands = Bands(percent)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
-
-        def packed() -> pa.RecordBatch:
-            bucket, low = short(np.concatenate(held), buckets)
-            both = np.sort(bucket.astype(U64) << U64(32) | low.astype(U64))
-            first = np.concatenate([[True], both[1:] != both[:-1]])
-            second = np.concatenate([[False], first[:-1] & ~first[1:]])
-            both = both[first | second]  # at most two of each
-            bounds = np.searchsorted(both, np.arange(buckets + 1, dtype=U64) << U64(32))
-            full = np.flatnonzero(np.diff(bounds))
-            low = (both & U64(0xFFFFFFFF)).astype(np.uint32)
-            blobs = [low[bounds[b] : bounds[b + 1]].tobytes() for b in full]
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "symbols"])
-
-        for _, _, _, own, _, fresh in new_sets(batches, n):
+        block = Block()
+        for _, _, _, own, key, fresh in new_sets(batches, n):
             if fresh:
-                for symbols, _ in bands.symbols(own):
-                    held.append(symbols)
-                    count += len(symbols)
-                if count >= SEND:
-                    yield packed()
-                    held, count = [], 0
-        if held:
-            yield packed()
+                block.add(key, own, bands, buckets)
+            if block.full():
+                yield messages(block.messages(buckets))
+                block = Block()
+        yield messages(block.messages(buckets))
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        return (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in groupby(rows_of(batches), key=lambda r: r[2]):
+            asked = []
+            for row in group:
+                if row[1] == ASK:
+                    asked.append(row)
+                else:
+                    yield messages([row])  # only passes through
+            if asked:
+                yield messages(answers(asked))
+
+    def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in groupby(rows_of(batches), key=lambda r: r[0]):
+            columns = staying(list(group), buckets)
+            for at in range(0, len(columns[0]), SEND // 4):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + SEND // 4]) for c in columns], ["node", "size", "symbol"])
+
+    asked = texts.select("id", "text").mapInArrow(send, MESSAGE).repartition(min(buckets, 1 << 15), "bucket").sortWithinPartitions("bucket")
+    answered = asked.mapInArrow(answer, MESSAGE).repartition("block").sortWithinPartitions("block")
+    return written(answered.mapInArrow(stay, "node long, size long, symbol long"), "symbols")
+
+
+def places(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slice of a node, and its two bits there."""
+    h = mixed(nodes.view(U64) ^ U64(0x5851F42D4C957F2D))
+    bits = U64(FILTER_BITS // SLICES - 1)
+    return (nodes.view(U64) % U64(SLICES)).astype(np.int64), np.stack([h & bits, h >> U64(32) & bits]).astype(np.int64)
+
+
+def node_filter(symbols: DataFrame) -> np.ndarray:
+    """Bits of the nodes of the table, slice by slice: FILTER_BITS in all, whatever the input."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((b, s) for batch in batches for b, s in zip(batch.column(0).to_pylist(), batch.column(1)))
-        for bucket, group in groupby(rows, key=lambda r: r[0]):
-            low = np.sort(np.concatenate([np.frombuffer(s.as_py(), np.uint32) for _, s in group]))
-            twice = low[1:][low[1:] == low[:-1]]
-            bits = np.zeros(slice_bits, np.uint8)
-            for place in filter_places(twice.astype(U64), slice_bits):
-                bits[place] = 1
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["bucket", "bits"])
-
-    sent = texts.select("id", "text").mapInArrow(send, "bucket long, symbols binary")
-    merged = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "bucket long, bits binary")
-    whole = np.zeros((buckets, slice_bits // 8), np.uint8)
-    for row in merged.collect():  # FILTER_BITS in all, whatever the input; one job, not one per bucket
-        whole[row[0]] = np.frombuffer(row[1], np.uint8)
-    return whole, buckets
-
-
-def passing(keys: np.ndarray, bits: np.ndarray, buckets: int) -> np.ndarray:
-    bucket, low = short(keys, buckets)
-    one, two = filter_places(low.astype(U64), FILTER_BITS // buckets)
-    return (bits[bucket, one >> 3] >> (one & 7).astype(np.uint8) & bits[bucket, two >> 3] >> (two & 7).astype(np.uint8) & 1).astype(bool)
-
-
-def emitted(texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """A table with rows of three kinds: 0, ``id, node, size`` of each text; 1, ``node, size, symbol``; 2, ``node, size,
-    sketch, hashes``."""
-    spark: SparkSession = texts.sparkSession
-    bits, buckets = shared_filter(texts, n, percent)
-    shared = spark.sparkContext.broadcast(bits)
-    bands = Bands(percent)
-    id_kind = texts.schema["id"].dataType
-    names = ["kind", "id", "node", "size", "symbol", "sketch", "hashes"]
+        bits: dict[int, np.ndarray] = {}
+        for batch in batches:
+            slices, at = places(batch.column(0).to_numpy())
+            for s in np.unique(slices).tolist():
+                bits.setdefault(s, np.zeros(FILTER_BITS // SLICES, bool))[at[:, slices == s].ravel()] = True
+        for s, own in bits.items():
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())], ["slice", "bits"])
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[], [], [], [], [], [], []]  # rows, nodes, sizes; symbols' nodes, sizes, symbols; sets
+    nodes = symbols.select("node").distinct().withColumn("slice", F.pmod(F.col("node"), F.lit(SLICES)))
+    whole = np.zeros((SLICES, FILTER_BITS // SLICES // 8), np.uint8)
+    for row in nodes.repartition(SLICES, "slice").select("node").mapInArrow(merge, "slice long, bits binary").collect():
+        whole[row[0]] |= np.frombuffer(row[1], np.uint8)
+    return whole
 
-        def packed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            rows, nodes, sizes, per, key_nodes, symbols, sets = held
-            count, ids = len(rows), batch.column(0).take(pa.array(rows, pa.int64()))
 
-            def out(kind: int, length: int, **columns: pa.Array) -> pa.RecordBatch:
-                types = [pa.int32(), batch.column(0).type, pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                columns["kind"] = pa.array(np.full(length, kind, np.int32))
-                return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(length, t)) for c, t in zip(names, types)], names)
+def stays(key: int, bits: np.ndarray) -> bool:
+    slices, at = places(np.array([key], np.int64))
+    return bool((bits[slices, at >> 3] >> (at & 7).astype(np.uint8) & 1).all())
 
-            yield out(0, count, id=ids, node=pa.array(nodes, pa.int64()), size=pa.array(sizes, pa.int64()))
-            if symbols:
-                repeats = [len(s) for s in symbols]
-                yield out(1, sum(repeats), node=pa.array(np.repeat(np.array(key_nodes, np.int64), repeats)), size=pa.array(np.repeat(np.array(per, np.int64), repeats)), symbol=pa.array(np.concatenate(symbols).view(np.int64)))
-            if sets:
-                yield out(2, len(sets), node=pa.array([s[0] for s in sets], pa.int64()), size=pa.array([len(s[1]) for s in sets], pa.int64()), sketch=pa.array([bit_sketch(s[1]) for s in sets], pa.binary()), hashes=pa.array([s[1].tobytes() for s in sets], pa.binary()))
-            for h in held:
-                h.clear()
 
-        last = None
+def emitted(texts: DataFrame, symbols: DataFrame, n: int) -> DataFrame:
+    """A table with rows of two kinds: 0, ``id, node, size`` of each text; 2, ``node, size, sketch, hashes`` of the sets that
+    the table of symbols names."""
+    spark: SparkSession = texts.sparkSession
+    shared = spark.sparkContext.broadcast(node_filter(symbols))
+    id_kind = texts.schema["id"].dataType
+    names = ["kind", "id", "node", "size", "sketch", "hashes"]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, nodes, sizes, sets = [], [], [], []
         for batch, row, end, own, key, fresh in new_sets(batches, n):
-            held[0].append(row)
-            held[1].append(key if len(own) else None)
-            held[2].append(len(own))
-            if fresh:
-                kept = []
-                for symbols, sure in bands.symbols(own):
-                    symbols = symbols[passing(symbols, shared.value, buckets)]
-                    if len(symbols) >= sure:
-                        kept.append(symbols)
-                if kept:
-                    held[3].append(len(own))
-                    held[4].append(key)
-                    held[5].append(np.concatenate(kept))
-                    held[6].append((key, own))
-            if row == end - 1:
-                yield from packed(batch)
-
-    schema = f"kind int, id {id_kind.simpleString()}, node long, size long, symbol long, sketch binary, hashes binary"
+            rows.append(row)
+            nodes.append(key if len(own) else None)
+            sizes.append(len(own))
+            if fresh and stays(key, shared.value):
+                sets.append((key, own))
+            if row < end - 1:
+                continue
+            types = [pa.int32(), batch.column(0).type, pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            ids = batch.column(0).take(pa.array(rows, pa.int64()))
+            columns = [[0] * len(rows), ids, nodes, sizes, [None] * len(rows), [None] * len(rows)]
+            yield pa.RecordBatch.from_arrays([c if c is ids else pa.array(c, t) for c, t in zip(columns, types)], names)
+            if sets:
+                count = len(sets)
+                columns = [[2] * count, [None] * count, [k for k, _ in sets], [len(s) for _, s in sets], [bit_sketch(s) for _, s in sets], [s.tobytes() for _, s in sets]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+            rows, nodes, sizes, sets = [], [], [], []
+
+    schema = f"kind int, id {id_kind.simpleString()}, node long, size long, sketch binary, hashes binary"
     rows = written(texts.select("id", "text").mapInArrow(emit, schema), "shingles")
     shared.destroy()  # the table is written, so nothing needs the filter any more
     return rows
@@ -465,11 +571,12 @@ def across(members: DataFrame, heads: DataFrame, sets: DataFrame, percent: int,
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each row."""
     texts = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
-    rows = emitted(texts, n, percent)
+    symbols = shared_symbols(texts, n, percent)
+    rows = emitted(texts, symbols, n)
     members = rows.filter("kind = 0").select("id", "node", "size")
     sets = rows.filter("kind = 2").groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("hashes").alias("hashes"))
     sets = written(sets, "sets")
-    found = written(grouped(rows.filter("kind = 1"), percent), "groups")
+    found = written(grouped(symbols, percent), "groups")
     close = f"a <> b and 100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)"
     pairs = found.filter(close).select("a", "b", "size_a", "size_b").distinct()
     # sets with the same id belong together
