@@ -36,6 +36,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.functions.names import column
@@ -46,6 +47,8 @@ WORDS, PERCENT = 5, 75
 BLOCK = 2_000_000
 #: Symbols of a bucket, symbols and sets of a block; the number that stands for several sets of a block.
 BUCKET, SEND, SETS, SEVERAL = 1_000_000, 1_000_000, 32_000, 65_535
+#: Bits that tell the symbols of a bucket apart: one in a thousand has those of another, which costs a look and no link.
+LOW = 30
 #: Bits of the filter of sets that stay, and the slices it is made in.
 FILTER_BITS, SLICES = 1 << 27, 64
 #: Largest group whose pairs are all candidates; members of a block in the comparison of larger groups.
@@ -165,20 +168,28 @@ def folded(sketch: np.ndarray, words: int) -> np.ndarray:
     return sketch
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Values byte plane after byte plane, compressed: high bytes take few values."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    rows = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(rows.T).view(kind).ravel()
+
+
 def packed_sorted(values: np.ndarray) -> bytes:
-    """Ascending 32-bit values as differences, byte plane after byte plane: the planes of high bytes are nearly empty."""
-    steps = np.diff(values, prepend=np.uint32(0))
-    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Ascending 32-bit values as differences."""
+    return planes(np.diff(values, prepend=np.uint32(0)))
 
 
 def unpacked_sorted(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32)
+    return np.cumsum(from_planes(data, np.uint32), dtype=np.uint32)
 
 
 def short(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket (the highest bits) and 32 more bits of a symbol, in one number. Buckets are a power of two, two at least."""
-    return keys >> U64(64 - (buckets - 1).bit_length()) << U64(32) | keys & U64(0xFFFFFFFF)
+    """Bucket (the highest bits) and LOW more bits of a symbol, in one number. Buckets are a power of two, two at least."""
+    return keys >> U64(64 - (buckets - 1).bit_length()) << U64(32) | keys & U64((1 << LOW) - 1)
 
 
 def new_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, int, bool]]:
@@ -248,7 +259,7 @@ class Block:
         else:
             spans = ((b, bounds[b], bounds[b + 1]) for b in np.flatnonzero(np.diff(bounds)).tolist())
         low = (symbols & U64(0xFFFFFFFF)).astype(np.uint32)
-        return out + [(block, ASK, b, numbers[i:j].tobytes(), packed_sorted(low[i:j])) for b, i, j in spans]
+        return out + [(block, ASK, b, planes(numbers[i:j]), packed_sorted(low[i:j])) for b, i, j in spans]
 
 
 #: Kinds of messages: symbols to be looked up (and looked-up ones); symbols that several sets of the block have; its sets.
@@ -265,7 +276,7 @@ def messages(rows: list[tuple]) -> pa.RecordBatch:
 def answers(asked: list[tuple]) -> list[tuple]:
     """Of the questions of one bucket, those symbols that another block sent too, or that several sets of one block have."""
     low = [unpacked_sorted(row[4]) for row in asked]
-    numbers = [np.frombuffer(row[3], np.uint16) for row in asked]
+    numbers = [from_planes(row[3], np.uint16) for row in asked]
     every = np.concatenate(low)
     order = np.argsort(every, kind="stable")
     same = every[order][1:] == every[order][:-1]
@@ -277,7 +288,7 @@ def answers(asked: list[tuple]) -> list[tuple]:
         keep = shared[at : at + len(values)] & (own != SEVERAL)  # those of several sets are known to be shared
         at += len(values)
         if keep.any():
-            out.append((row[0], ASK, row[2], own[keep].tobytes(), packed_sorted(values[keep])))
+            out.append((row[0], ASK, row[2], planes(own[keep]), packed_sorted(values[keep])))
     return out
 
 
@@ -291,7 +302,7 @@ def staying(rows: list[tuple], buckets: int) -> list[np.ndarray]:
             numbers.append(np.frombuffer(own, np.uint16))
             symbols.append(np.frombuffer(values, U64))
         elif kind == ASK:
-            numbers.append(np.frombuffer(own, np.uint16))
+            numbers.append(from_planes(own, np.uint16))
             symbols.append(U64(bucket << 32) | unpacked_sorted(values).astype(U64))
     if not numbers:
         return [np.zeros(0, np.int64)] * 3

@@ -437,6 +437,44 @@ def test_no_link_through_rows_without_id(spark):
     assert got == plain_components(rows) and [r[2] for r in got] == [1, 2, 3, None]
 
 
+def test_blocks_keep_the_sets_with_enough_shared_symbols():
+    """Blocks, buckets and answers against plain counts of symbols."""
+    random_, bands, buckets = np.random.default_rng(9), jaccard.Bands(), 32
+    fresh = lambda n: np.unique(random_.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+    base = fresh(120)
+    sets = [fresh(n) for n in (1, 3, 40, 300)] + [np.unique(np.concatenate([base[k:], fresh(k)])) for k in (0, 2, 5)] + [base[:3], np.concatenate([base[:3], fresh(90)])]
+    blocks = [jaccard.Block() for _ in range(3)]
+    for i, own in enumerate(sets):
+        own.sort()
+        blocks[i % 3].add(i, own, bands, buckets)
+    blocks.append(blocks[0])  # a block that two tasks have alike
+    sent = [m for b in blocks for m in b.messages(buckets)]
+    through = [m for m in sent if m[1] != jaccard.ASK]
+    for bucket in {m[2] for m in sent}:
+        asked = [m for m in sent if m[1] == jaccard.ASK and m[2] == bucket]
+        through += jaccard.answers(asked) if asked else []
+    got = set()
+    for block in {m[0] for m in through}:
+        got |= set(zip(*(c.tolist() for c in jaccard.staying([m for m in through if m[0] == block], buckets))))
+    spread = [(i, len(own), jaccard.short(s, buckets).view(np.int64).tolist(), sure) for i, own in enumerate(sets) for s, sure in bands.symbols(own)]
+    holders: dict = {}
+    for i, _, symbols, _ in spread:
+        for s in symbols:
+            holders.setdefault(s, []).append(i + 1)
+    twice = {s for s, own in holders.items() if len(own) > 1 or (own[0] - 1) % 3 == 0}  # the doubled block counts twice
+    expected = set()
+    for i, size, symbols, sure in spread:
+        shared = [s for s in symbols if s in twice]
+        if len(shared) >= sure:
+            expected |= {(i, size, s) for s in shared}
+    assert got == expected and {4, 5, 6} <= {i for i, _, _ in got}
+
+
+def test_sorted_values_come_back():
+    values = np.sort(np.random.default_rng(3).integers(0, 1 << 32, 5000).astype(np.uint32))
+    assert (jaccard.unpacked_sorted(jaccard.packed_sorted(values)) == values).all()
+
+
 def test_symbols_lose_no_link():
     """Linked sets of any sizes share a symbol, and as many as the bound says."""
     random_, bands = np.random.default_rng(5), jaccard.Bands()
