@@ -10,6 +10,7 @@ from stratalake.fixed import HOUR, MONTHLY_KEYS, YEAR_MONTH
 from stratalake.functions.dates import year_month
 from stratalake.functions.names import column, lookup, require_columns
 from stratalake.operators.dates import in_month
+from stratalake.operators.frequent import split_frequent
 
 
 def _distinct(name: str, keys: Sequence[str], approximate: bool) -> Column:
@@ -74,6 +75,20 @@ def monthly_aggregate(
     )
 
 
+def monthly_aggregate_ranged(trips: DataFrame, scale: int | None = None, like: DataFrame | None = None) -> DataFrame:
+    """As ``monthly_aggregate`` by its own keys, with the groups left in ranges of the keys, month first, so that they can
+    be written by month without a second shuffle.
+
+    Trips go to the task of their range in one narrow shuffle; those of
+    frequent groups are combined before theirs. ``like`` as in ``split_frequent``.
+    """
+    keys = require_columns(trips, MONTHLY_KEYS)
+    used = require_columns(trips, ["trip_distance", "total_amount", "pickup_datetime"])
+    frequent, rest = split_frequent(trips.select(*map(column, [*keys, *used])), keys, like)
+    groups = monthly_aggregate(rest.repartitionByRange(*map(column, keys)), keys, scale)
+    return groups if frequent is None else groups.unionByName(monthly_aggregate(frequent, keys, scale))
+
+
 def mean_of_group_totals(
     groups: DataFrame, total: str, name: str, where: Column | None = None, scale: int | None = None
 ) -> DataFrame:

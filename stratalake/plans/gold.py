@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stratalake.fixed import OTHER_PROVIDER, PROVIDERS, YEAR_MONTH
-from stratalake.operators.aggregate import monthly_aggregate
+from stratalake.operators.aggregate import monthly_aggregate, monthly_aggregate_ranged
 from stratalake.operators.conform import code_label, conform, typed_null, union_all
 from stratalake.operators.dates import with_year_month
 from stratalake.sources.layout import clustered, rebalanced
@@ -73,24 +73,29 @@ def publish_gold(
     scale: int | None = None,
     optimize: bool = False,
     files: int | None = None,
+    by_month: bool = False,
 ) -> None:
     """Publish the given trips by month, then aggregate what was published.
 
     The aggregate is grouped by month, so rebuilding only the ``months`` that
     changed is exact; ``trips`` then holds all trips of those months. With
-    ``optimize`` both tables are then rewritten, month by month clustered by
-    the columns they are filtered on, in ``files`` files or as many as the
-    session has shuffle partitions.
+    ``optimize`` both tables are clustered, month by month, by the columns they
+    are filtered on, in ``files`` files or as many as the session has shuffle
+    partitions. ``by_month`` says that ``trips`` are read from tables with
+    months as partitions: their files then become files of the gold table
+    without a shuffle.
     """
-    layout = rebalanced(trips, YEAR_MONTH).sortWithinPartitions(YEAR_MONTH, *SORTED_BY)
+    if optimize:
+        layout = clustered(trips, SORTED_BY, files, lead=[YEAR_MONTH])
+    else:
+        layout = (trips if by_month else rebalanced(trips, YEAR_MONTH)).sortWithinPartitions(YEAR_MONTH, *SORTED_BY)
     publish_partitions(layout, trips_path, YEAR_MONTH)
     published = read_partitions(spark, trips_path, YEAR_MONTH, trips.schema, months)
-    monthly = monthly_aggregate(published, scale=scale)
-    publish_partitions(rebalanced(monthly, YEAR_MONTH), monthly_path, YEAR_MONTH)
+    monthly = monthly_aggregate_ranged(published, scale)
+    publish_partitions(monthly, monthly_path, YEAR_MONTH)
     if optimize:
-        for path, schema, cols in ((trips_path, trips.schema, SORTED_BY), (monthly_path, monthly.schema, MONTHLY_SORTED_BY)):
-            rows = read_partitions(spark, path, YEAR_MONTH, schema, months)
-            publish_partitions(clustered(rows, cols, files, lead=[YEAR_MONTH]), path, YEAR_MONTH, same_rows=True)
+        rows = read_partitions(spark, monthly_path, YEAR_MONTH, monthly.schema, months)
+        publish_partitions(clustered(rows, MONTHLY_SORTED_BY, files, lead=[YEAR_MONTH]), monthly_path, YEAR_MONTH, same_rows=True)
 
 
 def read_gold_trips(spark: SparkSession, path: str, timestamp: str = "timestamp") -> DataFrame:

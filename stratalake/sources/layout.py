@@ -22,6 +22,8 @@ SHARDS, SHARE, SEED = 16, 256, 42
 CELLS_PER_FILE, CELL_BITS, CURVE = 16, 16, 16
 # How far, in files, a file may end from where it should, to end at a larger block of the curve.
 SLACK = 0.35
+# Cells, at most, that are sent to every executor, so that rows find their file without a shuffle.
+SENT_CELLS = 1 << 20
 
 
 def rebalanced(df: DataFrame, *cols: str, files: int | None = None) -> DataFrame:
@@ -168,6 +170,8 @@ def clustered(
     place, file, share = (fresh_name(df, n) for n in ("place", "file", "share"))
     fields = [df.schema[c] for c in lead] + [T.StructField(n, T.LongType()) for n in (cell, place, file, share)]
     plan = spark.createDataFrame(planned, T.StructType([T.StructField(f.name, f.dataType) for f in fields]))
+    if len(planned) <= SENT_CELLS:
+        plan = F.broadcast(plan)
     same = reduce(and_, [F.col(f"r.{quoted(c)}").eqNullSafe(F.col(f"p.{quoted(c)}")) for c in (*lead, cell)])
     joined = keyed.alias("r").join(plan.alias("p"), same, "left").select("r.*", *[F.coalesce(F.col(f"p.{n}"), F.lit(0)).alias(n) for n in (place, file)], F.coalesce(F.col(f"p.{share}"), F.lit(1)).alias(share))
     target = (F.col(file) + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col(share))).cast("int")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stratalake.fixed import MONTHLY_KEYS, MONTHLY_MEASURES
 from stratalake.operators import aggregate
-from stratalake.operators.aggregate import hourly_mean, mean_of_group_totals, monthly_aggregate, monthly_mean
+from stratalake.operators.aggregate import hourly_mean, mean_of_group_totals, monthly_aggregate, monthly_aggregate_ranged, monthly_mean
 from stratalake.operators.conform import code_label, conform, typed_null, union_all
 from stratalake.plans.gold import to_gold
 from stratalake.plans.inspect import inspect_feeds
@@ -170,3 +170,23 @@ def test_scaled_sums_lose_nothing(spark, either_mode):
     assert one([float("inf"), 1.0]).t == float("inf")
     assert tuple(one([0.1] * 10 + [-0.25, None])) == (0.75, 0.75 / 11)
     assert one([1e18, 1.5]).t == 1e18 + 1.5 and one([None]).t is None
+
+
+def test_ranged_aggregate_is_one_narrow_shuffle(spark):
+    trips = spark.range(4000).select(
+        F.timestamp_seconds(F.lit(1682899200) + F.col("id") * 997).alias("pickup_datetime"),
+        F.lit("not needed").alias("dropoff_datetime"),
+        F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") % 41).alias("pulocationid"),
+        F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") % 3).alias("dolocationid"),
+        (F.col("id") % 10 / 10).alias("trip_distance"),
+        F.when(F.col("id") % 5 != 0, F.col("id") / 100).alias("total_amount"),
+        F.when(F.col("id") % 3 < 5, F.concat(F.lit("f"), F.col("id") % 1)).alias("service_type"),
+        F.concat(F.lit("p"), F.col("id") % 2).alias("provider"),
+        F.when(F.col("id") % 2 == 0, F.lit("190001")).otherwise(F.concat(F.lit("20230"), (F.col("id") % 4).cast("string"))).alias("ano_mes"),
+    )
+    assert rows(monthly_aggregate_ranged(trips, 2)) == rows(monthly_aggregate(trips, scale=2))
+    out = monthly_aggregate_ranged(trips.filter("ano_mes > '2'"), 2)
+    text = plan(out)
+    assert text.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in text
+    months = out.groupBy(F.spark_partition_id().alias("p")).agg(F.min("ano_mes").alias("low"), F.max("ano_mes").alias("high")).orderBy("low").collect()
+    assert all(a.high <= b.low for a, b in zip(months, months[1:]))
