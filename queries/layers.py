@@ -10,7 +10,7 @@ from stratalake.operators.schema import enforce_schema
 from stratalake.plans.layers import run_layers
 from stratalake.plans.silver import read_silver
 from stratalake.sources.feeds import FEEDS
-from stratalake.sources.storage import shared_dir
+from stratalake.sources.storage import compressed, shared_dir
 from stratalake.streaming.upsert import silver_stream
 
 
@@ -19,7 +19,7 @@ def _run(spark: SparkSession, sf_dir: str, names=tuple(FEEDS), bad: str | None =
     landing = {name: f"{root}/landing/{name}" for name in names}
     for name, path in landing.items():
         raw = raw_feed(spark, sf_dir, name)
-        (raw.select(raw.columns[0]) if name == bad else raw).write.parquet(path)
+        compressed(raw.select(raw.columns[0]) if name == bad else raw).parquet(path)
     feeds = {name: ntz_feed(name) for name in FEEDS}
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
     return run_layers(spark, landing, f"{root}/lake", feeds, as_of, timestamp="timestamp_ntz", scale=2)

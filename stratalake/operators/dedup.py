@@ -12,6 +12,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from stratalake.functions.names import column, fresh_name, require_columns
+from stratalake.operators.frequent import split_frequent
 
 
 def unorderable(dtype: T.DataType) -> bool:
@@ -55,6 +56,20 @@ def keep_one(
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
 
 
+def keep_one_ranged(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], along: str) -> DataFrame:
+    """As ``keep_one``, with the rows left in ranges of the key ``along``, so that they can be written by anything that
+    ascends with it and need no second shuffle for that.
+
+    Rows of a range go to its task before they are reduced; those of frequent
+    keys are reduced by ``keep_one`` on their own.
+    """
+    keys, (along,) = require_columns(df, keys), require_columns(df, [along])
+    frequent, rest = split_frequent(df, keys)
+    ranges = [column(along), *[column(k) for k in keys if k != along]]
+    kept = keep_one(rest.repartitionByRange(*ranges), keys, order_by)
+    return kept if frequent is None else kept.unionByName(keep_one(frequent, keys, order_by))
+
+
 def keep_latest(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str], nulls: str = "last") -> DataFrame:
     return keep_one(df, keys, [order_by] if isinstance(order_by, str) else order_by, "desc", nulls)
 

@@ -81,7 +81,7 @@ def run_layers(
     if months:
         touched = sorted(months)
         silver = {name: read_silver(spark, feeds[name], paths[name]["silver"], touched) for name in landing}
-        publish_gold(spark, to_gold(silver), trips_path, monthly_path, touched, scale, optimize)
+        publish_gold(spark, to_gold(silver), trips_path, monthly_path, touched, scale, optimize, by_month=True)
         for name in landing:
             if name in errors:
                 continue

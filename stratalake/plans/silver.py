@@ -13,12 +13,12 @@ from stratalake.functions.casting import safe_cast
 from stratalake.functions.names import column, fresh_name, lookup
 from stratalake.operators.clean import standard_clean, upper_strings
 from stratalake.operators.dates import with_ingestion_time, with_year_month
-from stratalake.operators.dedup import keep_one
+from stratalake.operators.dedup import keep_one, keep_one_ranged
 from stratalake.operators.schema import enforce_schema, lower_names
 from stratalake.sources.feeds import Feed
 from stratalake.sources.layout import clustered
 from stratalake.sources.storage import shared_dir
-from stratalake.sources.tables import publish_partitions, read_partitions, upsert_partitions
+from stratalake.sources.tables import newest_parts, publish_partitions, read_partitions, upsert_partitions
 
 
 def silver_schema(feed: Feed) -> T.StructType:
@@ -44,14 +44,23 @@ def to_silver(bronze: DataFrame, feed: Feed, as_of: object | None = None) -> Dat
     return with_year_month(with_ingestion_time(unique, as_of=as_of), feed.pickup)
 
 
+def to_silver_by_month(bronze: DataFrame, feed: Feed, as_of: object | None = None) -> DataFrame:
+    """As ``to_silver``, with the rows left in ranges of their time, so that they can be written by month as they are."""
+    unique = keep_one_ranged(cleaned(bronze, feed), feed.keys, [feed.pickup], feed.pickup)
+    return with_year_month(with_ingestion_time(unique, as_of=as_of), feed.pickup)
+
+
 def publish_silver(bronze: DataFrame, feed: Feed, path: str, as_of: object | None = None) -> int:
     """Upsert the cleaned rows into the silver table, month by month.
 
     The month comes from a key column, so a row never changes its partition.
     """
-    silver = to_silver(bronze, feed, as_of)
+    first = not newest_parts(bronze.sparkSession, path)
+    silver = (to_silver_by_month if first else to_silver)(bronze, feed, as_of)
     months = with_year_month(cleaned(bronze, feed), feed.pickup)
-    return upsert_partitions(silver, path, YEAR_MONTH, feed.keys, source_unique=True, touched_by=months, derived_from=feed.pickup)
+    return upsert_partitions(
+        silver, path, YEAR_MONTH, feed.keys, source_unique=True, touched_by=months, derived_from=feed.pickup, by_partition=first
+    )
 
 
 # What is counted while silver is written.

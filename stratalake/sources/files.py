@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from stratalake.functions.names import lookup
 from stratalake.operators.conform import union_all
 from stratalake.operators.schema import enforce_schema
+from stratalake.sources.storage import compressed
 from stratalake.sources.tables import LEVEL, publish, version_dir, versions
 
 # The columns of Spark's own file listing source; ``content`` is never read here.
@@ -111,7 +112,7 @@ def ingest_files(
     while batch := [row.path for row in islice(pending, max_files)]:
         loads = versions(spark, ledger)
         load_id = loads[-1] + 1 if loads else 1
-        load_files(spark, batch, schema, on_missing).write.mode("overwrite").parquet(version_dir(bronze, load_id))
+        compressed(load_files(spark, batch, schema, on_missing)).mode("overwrite").parquet(version_dir(bronze, load_id))
         publish(spark.createDataFrame([(p,) for p in batch], "path string"), ledger, version=load_id)
         done += len(batch)
     return done

@@ -5,7 +5,10 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+
+# How Parquet files of the layers are compressed: a third smaller than with Spark's own default.
+CODEC = "zstd"
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -33,6 +36,11 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def compressed(df: DataFrame) -> DataFrameWriter:
+    """A writer of files that are kept."""
+    return df.write.option("compression", CODEC)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new directory below the shared folder of the session.
 

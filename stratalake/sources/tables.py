@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from stratalake.functions.names import column, fresh_name, quoted, require_columns
 from stratalake.operators.dedup import keep_one
 from stratalake.operators.upsert import same_keys, upsert
-from stratalake.sources.storage import matching, remove, shared_dir, sized
+from stratalake.sources.storage import compressed, matching, remove, shared_dir, sized
 
 # The directory level of the versions; no table may have a column of this name.
 LEVEL = "table_version"
@@ -81,7 +81,7 @@ def publish(
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], max_records_per_file: int, number: int, bloom: Sequence[str]) -> None:
     if LEVEL in (c.lower() for c in df.columns):
         raise AnalysisException(f"A published table cannot have a column {LEVEL!r}")
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    writer = compressed(df).mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
     for name in require_columns(df, bloom):
         # The filter takes the size that the number of values in the row group calls for.
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true").option(f"parquet.bloom.filter.adaptive.enabled#{name}", "true")
@@ -277,6 +277,7 @@ def upsert_partitions(
     max_records_per_file: int = 0,
     derived_from: str | None = None,
     bloom: bool = False,
+    by_partition: bool = False,
 ) -> int:
     """Upsert into a partitioned table, rewriting only the touched partitions.
 
@@ -288,7 +289,9 @@ def upsert_partitions(
     filters on the keys, and a source of few keys reads only row groups that
     may have one of them. Only the names of the touched partitions come to the
     driver; they are taken from ``touched_by`` if given, a cheaper DataFrame
-    with the same partition values as ``source``.
+    with the same partition values as ``source``. ``by_partition`` says that
+    rows of a partition lie in few tasks already: the first write then deals
+    out nothing.
     """
     spark = source.sparkSession
     (partition,) = require_columns(source, [partition])
@@ -298,7 +301,8 @@ def upsert_partitions(
         raise AnalysisException(f"The partition can only be derived from one of the keys {list(keys)}, not {fixed!r}")
     filters = [k for k in keys if k != partition] if bloom else []
     gone: set[object] = set()
-    if not newest_parts(spark, path):
+    first = not newest_parts(spark, path)
+    if first:
         merged = source if source_unique else keep_one(source, keys, list(order_by))
     else:
         if fixed not in keys:
@@ -314,7 +318,7 @@ def upsert_partitions(
         target = read_partitions(spark, path, partition, source.schema, touched)
         merged = upsert(target, source, keys, order_by, source_unique)
     # Rebalancing evens out file sizes and splits a partition that is too big for one task.
-    balanced = merged.hint("rebalance", column(partition))
+    balanced = merged if first and source_unique and by_partition else merged.hint("rebalance", column(partition))
     return publish_partitions(balanced, path, partition, max_records_per_file, rewritten=gone, bloom=filters)
 
 

@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from stratalake.operators import dedup
+from stratalake.operators.frequent import split_frequent
 
 CALM = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 SMALL = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2, None]), st.integers(0, 3)), max_size=25)
@@ -89,3 +90,22 @@ def test_hot_key_ships_one_row_per_task(spark):
     out = dedup.keep_latest(df, ["k"], "v")
     got = out.filter("k = -1").first()
     assert got.v == 29997 * 7 and out.count() == 20001
+
+
+def test_ranged_keeps_the_same_rows_in_one_shuffle(spark):
+    """A third of the rows have one key; the others stay in ranges of the key they are written by."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 700).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 7).cast("string").alias("j"),
+        (F.col("id") * 37 % 101).alias("v"),
+        "id",
+    )
+    out = dedup.keep_one_ranged(df, ["j", "k"], ["v"], "k")
+    assert rows(out) == rows(dedup.keep_one(df, ["j", "k"], ["v"]))
+    frequent, rest = split_frequent(df, ["j", "k"])
+    assert frequent.select("j", "k").distinct().collect() == [(None, None)] and frequent.count() == 1000 and rest.count() == 2000
+    few = dedup.keep_one_ranged(df.filter("k is not null"), ["j", "k"], ["v"], "k")
+    assert plan(few).count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in plan(few)
+    held = few.groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("low"), F.max("k").alias("high")).orderBy("low").collect()
+    assert all(a.high <= b.low for a, b in zip(held, held[1:]))
+    assert dedup.keep_one_ranged(df.filter("id < 0"), ["j", "k"], ["v"], "k").count() == 0

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from stratalake.plans.gold import publish_gold, read_gold_monthly, read_gold_trips, to_gold
 from stratalake.plans.layers import run_layers
 from stratalake.plans.silver import optimize_silver, publish_silver, read_silver, to_silver
 from stratalake.sources import tables
@@ -167,3 +168,38 @@ def test_a_bad_feed_stops_no_other(spark, tmp_path):
         ((feed, error),) = rows(out["errors"])
         assert feed == "green" and "lacks the declared columns" in error
         assert not tables.table_exists(spark, f"{lake}/silver_done/green") and not tables.table_exists(spark, f"{lake}/gold_done/green")
+
+
+def test_clustered_gold_is_written_once(spark, tmp_path):
+    at = [datetime(2023, m, d, 8) for m in (5, 6) for d in range(1, 11)]
+    silver = {"fhv": to_silver(spark.createDataFrame([("b", t, t, d, None, None, None) for d, t in enumerate(at)], FEEDS["fhv"].schema), FEEDS["fhv"])}
+    trips, monthly = str(tmp_path / "trips"), str(tmp_path / "monthly")
+    publish_gold(spark, to_gold(silver), trips, monthly, optimize=True)
+    assert tables.newest_parts(spark, trips) == 1 and tables.newest_parts(spark, monthly) == 2
+    assert sorted(r.pickup_datetime for r in read_gold_trips(spark, trips).collect()) == at
+    assert read_gold_monthly(spark, monthly).agg(F.sum("qtd_corridas")).first()[0] == 20
+
+
+def test_silver_and_gold_by_month_need_few_files(spark, tmp_path):
+    """Rows of a month lie together after one shuffle, so no task writes to all months."""
+    feed, lake, landing = FEEDS["fhv"], str(tmp_path / "lake"), str(tmp_path / "landing")
+    months = [datetime(2020 + n // 12, n % 12 + 1, 1) for n in range(24)]
+    moments = [F.lit(m).cast("timestamp") for m in months]
+    raw = spark.range(0, 4800, 1, 8).select(
+        F.concat(F.lit("b"), F.col("id")).alias("dispatching_base_num"),
+        F.element_at(F.array(*moments), (F.col("id") % 24 + 1).cast("int")).alias("pickup_datetime"),
+        F.lit(None).cast("timestamp").alias("dropOff_datetime"),
+        *[F.col("id").alias(c) for c in ("PUlocationID", "DOlocationID", "SR_Flag")],
+        F.lit("a").alias("Affiliated_base_number"),
+    )
+    raw.write.parquet(landing)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        out = run_layers(spark, {"fhv": landing}, lake)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert out["gold_trips"].count() == 4800 and out["silver_fhv"].count() == 4800
+    for table in (f"{lake}/silver/fhv", f"{lake}/gold/trips", f"{lake}/gold/monthly"):
+        names = [r.file for r in tables.part_files(spark, table).collect()]
+        assert 24 <= len(names) <= 24 + 8 and all(n.endswith(".zstd.parquet") for n in names), table
