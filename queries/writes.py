@@ -6,12 +6,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from queries.feeds import HOURS_IN_MAY, RAW_SQL, TOTAL_SQL, gold_sql, gold_trips, monthly_sql, ntz_feed, silver
+from queries.feeds import AS_OF, HOURS_IN_MAY, RAW_SQL, TOTAL_SQL, gold_sql, gold_trips, monthly_sql, ntz_feed, raw_feed
 from queries.registry import query, table
 from stratalake.fixed import YEAR_MONTH
 from stratalake.operators.dates import with_year_month
 from stratalake.plans.gold import publish_gold, read_gold_monthly
 from stratalake.plans.report import report
+from stratalake.plans.silver import to_silver_by_month
 from stratalake.sources.files import append_parquet, ingest_files, read_bronze, read_parquet
 from stratalake.sources.layout import cluster_write, optimize_for_reads, partitioned_write, with_zorder_key
 from stratalake.sources.storage import shared_dir
@@ -72,8 +73,9 @@ def report_from_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report from published gold and silver: the month selects the partitions of silver that are read."""
     root, feed = shared_dir(spark, "report"), ntz_feed("yellow")
     publish_gold(spark, gold_trips(spark, sf_dir), f"{root}/trips", f"{root}/monthly", scale=2)
-    publish_partitions(silver(spark, sf_dir, "yellow"), f"{root}/silver", YEAR_MONTH)
-    yellow = read_partitions(spark, f"{root}/silver", YEAR_MONTH, silver(spark, sf_dir, "yellow").schema)
+    silver = to_silver_by_month(raw_feed(spark, sf_dir, "yellow"), feed, F.lit(AS_OF).cast("timestamp_ntz"))
+    publish_partitions(silver, f"{root}/silver", YEAR_MONTH)
+    yellow = read_partitions(spark, f"{root}/silver", YEAR_MONTH, silver.schema)
     return report(read_gold_monthly(spark, f"{root}/monthly", "timestamp_ntz"), yellow.select(feed.pickup, "passenger_count", YEAR_MONTH), scale=2)
 
 
