@@ -6,7 +6,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from queries import writes
+from queries import feeds, writes
 from stratalake.sources import tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -111,3 +111,10 @@ def test_the_report_prunes_partitions(spark):
     text = plan(writes.report_from_published(spark, SF_DIR))
     scans = [line for line in text.splitlines() if "FileScan" in line and "passenger_count" in line]
     assert scans and all("PartitionFilters: [" in s and "EndsWith(ano_mes" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans)
+
+
+def test_groups_of_silver_are_summed_after_the_shuffle(spark):
+    """Trips are narrower than the sums of a group, and most groups have few trips."""
+    text = plan(feeds.gold_monthly_from_silver(spark, SF_DIR))
+    assert "partial_sum" in text[: text.index("Exchange")]
+    assert text.count("Exchange rangepartitioning") == 5
